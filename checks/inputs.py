@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from songloom.sources.files import read_table
+
 # One row per order with the names its song is made of.
 SONG_SOURCE = """
 SELECT o.o_orderkey AS k, o.o_orderpriority AS priority,
@@ -190,6 +192,10 @@ TABLES = [
 ]
 
 
+# Tables whose rows each become a text to work on.
+DRIVING = ["orders", "events", "pages"]
+
+
 def for_duckdb(sql: str) -> str:
     return re.sub(r"@(\w+)", r"\1", sql)
 
@@ -199,7 +205,8 @@ def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
     def view(match: re.Match) -> str:
         name = match.group(1)
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(f"given_{name}")
+        table = read_table(spark, f"{sf_dir}/{name}.parquet", spread=name in DRIVING)
+        table.createOrReplaceTempView(f"given_{name}")
         return f"given_{name}"
 
     return spark.sql(re.sub(r"@(\w+)", view, sql))

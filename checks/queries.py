@@ -35,8 +35,9 @@ from songloom.operators.web_pages import (
     song_title,
 )
 from songloom.plans.catalogue import build_catalogue
-from songloom.plans.staging import shared_folder, stage
+from songloom.plans.staging import job_folder, stage
 from songloom.sources import answers, csv_sink, store
+from songloom.sources.files import read_table
 from songloom.streaming.ingest import ingest_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +50,7 @@ def query(function: Query) -> Query:
 
 
 def _scratch(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    return f"{job_folder(spark)}/run-{uuid.uuid4().hex}"
 
 
 def _songs(spark: SparkSession, sf: str) -> DataFrame:
@@ -107,7 +108,7 @@ def extract_tags(spark, sf):
 
 @query
 def clean_lyrics_text(spark, sf):
-    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    documents = read_table(spark, f"{sf}/documents.parquet")
     return documents.select("doc_id", clean_lyrics(F.col("text")).alias("cleaned"))
 
 
@@ -264,19 +265,19 @@ def catalogue_summary(spark, sf):
 
 @query
 def normalise_text(spark, sf):
-    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    documents = read_table(spark, f"{sf}/documents.parquet")
     return documents.select("doc_id", normalise_name(F.col("text")).alias("name"))
 
 
 @query
 def sort_name_tokens(spark, sf):
-    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    documents = read_table(spark, f"{sf}/documents.parquet")
     return documents.select("doc_id", name_key(F.col("text")).alias("name_key"))
 
 
 @query
 def split_credit_names(spark, sf):
-    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    documents = read_table(spark, f"{sf}/documents.parquet")
     names = split_names(F.col("text"))
     return documents.select(
         "doc_id", F.size(names).cast("bigint").alias("n"), F.array_join(names, "~").alias("names")

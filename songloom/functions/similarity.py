@@ -36,26 +36,63 @@ def name_key(text: Column) -> Column:
 def common_subsequence(a: Column, b: Column) -> Column:
     """Length of the longest common subsequence of two strings, any length.
 
-    One bit per character of ``a``, in words of 62 bits, and one pass over the characters of
-    ``b``: ``v' = (v + (v & m)) | (v & ~m)`` with the carry handed from word to word. Zero bits
-    left in ``v`` count the subsequence.
+    One bit per character of ``a`` and one pass over the characters of ``b``, with ``m`` the places
+    of the current character in ``a``: ``v' = (v + (v & m)) | (v & ~m)``. Zero bits left in ``v``
+    count the subsequence.
     """
-    size = F.length(a)
-    word_count = F.ceil(size / F.lit(_WORD)).cast("int")
+    ordered = F.when(F.length(a) <= F.length(b), F.struct(a.alias("a"), b.alias("b"))).otherwise(
+        F.struct(b.alias("a"), a.alias("b"))
+    )
+
+    def count(pair: Column) -> Column:
+        shorter, longer = pair["a"], pair["b"]
+        return (
+            F.when(shorter == longer, F.length(shorter))
+            .when(F.length(shorter) == 0, F.lit(0))
+            .when(F.length(shorter) <= _WORD, _one_word(shorter, longer))
+            .otherwise(_many_words(shorter, longer))
+        )
+
+    return _bind(ordered, count)
+
+
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _places(letters: Column, letter: Column) -> Column:
+    """Bit per element of ``letters``, set where it equals ``letter``; the last is the lowest bit."""
+    return F.aggregate(
+        letters, F.lit(0).cast("bigint"), lambda bits, x: bits * 2 + F.when(x == letter, 1).otherwise(0)
+    )
+
+
+def _one_word(a: Column, b: Column) -> Column:
+    """``a`` fits one word. Its first character is the highest bit, so ``b`` is read backwards."""
+    places = _bind(
+        F.split(a, ""),
+        lambda letters: F.transform(F.split(F.reverse(b), ""), lambda letter: _places(letters, letter)),
+    )
+
+    def step(v, m):
+        return (v + v.bitwiseAND(m)).bitwiseOR(v.bitwiseAND(F.bitwise_not(m))).bitwiseAND(F.lit(_FULL))
+
+    left = F.aggregate(places, F.lit(_FULL), step)
+    return F.length(a) - F.bit_count(left.bitwiseAND(_low_bits(F.length(a))))
+
+
+def _many_words(a: Column, b: Column) -> Column:
+    """The same fold over words of 62 bits, the carry handed from word to word."""
     letters = F.split(a, "")
+    word_count = F.ceil(F.length(a) / F.lit(_WORD)).cast("int")
     blocks = F.transform(
         F.sequence(F.lit(0), F.greatest(word_count, F.lit(1)) - 1),
         lambda k: F.reverse(F.slice(letters, k * _WORD + 1, F.lit(_WORD))),
     )
 
-    def bits_equal(block, letter):
-        return F.aggregate(
-            block, F.lit(0).cast("bigint"),
-            lambda acc, x: acc * 2 + F.when(x == letter, 1).otherwise(0),
-        )
-
     masks = F.transform(
-        F.split(b, ""), lambda letter: F.transform(blocks, lambda block: bits_equal(block, letter))
+        F.split(b, ""), lambda letter: F.transform(blocks, lambda block: _places(block, letter))
     )
     start = F.transform(blocks, lambda block: F.lit(_FULL))
 
@@ -79,12 +116,9 @@ def common_subsequence(a: Column, b: Column) -> Column:
     words = F.aggregate(masks, start, step)
     used = F.zip_with(
         words, blocks,
-        lambda v, block: F.size(block) - F.bit_count(
-            v.bitwiseAND(_low_bits(F.size(block)))
-        ),
+        lambda v, block: F.size(block) - F.bit_count(v.bitwiseAND(_low_bits(F.size(block)))),
     )
-    total = F.aggregate(used, F.lit(0), lambda acc, n: acc + n)
-    return F.when((size == 0) | (F.length(b) == 0), F.lit(0)).otherwise(total)
+    return F.aggregate(used, F.lit(0), lambda acc, n: acc + n)
 
 
 def _low_bits(count: Column) -> Column:
@@ -93,8 +127,23 @@ def _low_bits(count: Column) -> Column:
 
 def similarity(key_a: Column, key_b: Column) -> Column:
     """``200 * common / (len a + len b)`` of two compare keys; null when both are empty."""
+
+    def score(pair: Column) -> Column:
+        total = F.length(pair["a"]) + F.length(pair["b"])
+        return F.when(total > 0, 200.0 * common_subsequence(pair["a"], pair["b"]) / total)
+
+    return _bind(F.struct(key_a.alias("a"), key_b.alias("b")), score)
+
+
+def may_reach(key_a: Column, key_b: Column, threshold: float) -> Column:
+    """False only for pairs that cannot reach the threshold.
+
+    The insertions and deletions between two keys are at least their edit distance, which is far
+    cheaper to bound.
+    """
     total = F.length(key_a) + F.length(key_b)
-    return F.when(total > 0, 200.0 * common_subsequence(key_a, key_b) / total)
+    room = F.floor((100 - float(threshold)) / 100 * total + 1e-9).cast("int")
+    return F.call_function("levenshtein", key_a, key_b, room) >= 0
 
 
 def token_sort_ratio(a: Column, b: Column) -> Column:

@@ -12,8 +12,6 @@ BLANKS = (
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 BLANK_CLASS = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-# The same set without the newline, for end-of-line trims.
-INLINE_BLANK_CLASS = r"[\t\x0b-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def strip(text: Column) -> Column:
@@ -34,14 +32,14 @@ def rstrip_chars(text: Column, chars: str) -> Column:
 
 def unify_newlines(text: Column) -> Column:
     """``\\r\\n`` and lone ``\\r`` become ``\\n``."""
-    return F.regexp_replace(text, r"\r\n?", "\n")
+    unified = F.regexp_replace(text, r"\r\n?", "\n")
+    return F.when(F.contains(text, F.lit("\r")), unified).otherwise(text)
 
 
 def rstrip_lines(text: Column) -> Column:
     """Remove blanks at the end of each line; leading blanks stay."""
-    return F.regexp_replace(
-        text, rf"(?<!{INLINE_BLANK_CLASS}){INLINE_BLANK_CLASS}++(?=\n|\z)", ""
-    )
+    lines = F.transform(F.split(text, "\n", -1), lambda line: F.rtrim(line, F.lit(BLANKS)))
+    return F.array_join(lines, "\n")
 
 
 def unwrap_markers(text: Column) -> Column:

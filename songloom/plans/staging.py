@@ -23,6 +23,11 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+def job_folder(spark: SparkSession) -> str:
+    """This application's own part of the shared folder, to be dropped once the job is over."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write once, read back columnar: later uses scan only the columns they need.
 
@@ -30,6 +35,6 @@ def stage(df: DataFrame) -> DataFrame:
     runs once.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    path = f"{job_folder(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

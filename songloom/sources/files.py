@@ -62,9 +62,24 @@ def stream_song_files(spark: SparkSession, folder: str, files_per_batch: int = 1
     return _song_file_rows(files)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
+def spread_if_few(df: DataFrame) -> DataFrame:
+    """Share out a scan of few, small files over all cores before costly per-row work.
+
+    A scan has about one task per file or per ``maxPartitionBytes``, whichever gives more. Only when
+    that is below half of the cores are rows shuffled, so a large input is never moved.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split_bytes = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    tasks = max(len(df.inputFiles()), size // split_bytes)
+    return df.repartition(cores) if tasks * 2 <= cores else df
+
+
+def read_table(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
     """Scraped rows, pages or fetch logs kept as parquet."""
-    return spark.read.parquet(path)
+    table = spark.read.parquet(path)
+    return spread_if_few(table) if spread else table
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:
