@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILE_GLOB = "*.isb.txt"
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def utf8_text(content: Column) -> Column:
@@ -54,7 +55,7 @@ def unreadable_files(spark: SparkSession, folder: str) -> DataFrame:
 def stream_song_files(spark: SparkSession, folder: str, files_per_batch: int = 10_000) -> DataFrame:
     """The same rows as a stream that picks up new files."""
     files = (
-        spark.readStream.format("binaryFile")
+        spark.readStream.format("binaryFile").schema(BINARY_FILE)
         .option("pathGlobFilter", FILE_GLOB)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
