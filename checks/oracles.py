@@ -370,6 +370,9 @@ add(
     SELECT cand_name AS name, 'nm' || cand_id AS imdb_id FROM ({I.PERSON_CATALOGUE}) p""",
 )
 
+add("json_answers", I.KNOWN_FILMS)
+add("first_credit_names", f"SELECT doc_id, trim(split_part(text, ',', 1), {BLANKS}) AS name FROM documents")
+
 
 def ids(role: str, table: str, row: str) -> str:
     return f"""(SELECT COALESCE(string_agg(i.imdb_id, '|' ORDER BY u.pos), '') FROM

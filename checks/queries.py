@@ -369,6 +369,24 @@ def answers_round_trip(spark, sf):
     return answers.read_answers(spark, path, answers.PERSON_SCHEMA)
 
 
+@query
+def json_answers(spark, sf):
+    """Stored film answers written as one JSON document per line, and read back."""
+    path = _scratch(spark)
+    known = I.derive(spark, sf, I.KNOWN_FILMS)
+    one = F.create_map("cache_key", "imdb_id")
+    document = F.to_json(F.struct(one.alias("films")), {"ignoreNullFields": "false"})
+    known.select(document.alias("value")).write.text(path)
+    films, _ = answers.read_answers_json(spark, path, one_per_line=True)
+    return films
+
+
+@query
+def first_credit_names(spark, sf):
+    documents = read_table(spark, f"{sf}/documents.parquet")
+    return documents.select("doc_id", resolve.first_name(F.col("text")).alias("name"))
+
+
 @query
 def attach_ids(spark, sf):
     songs = I.derive(spark, sf, I.FILE_SONGS)

@@ -15,14 +15,17 @@ def _missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def read_answers_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_answers_json(
+    spark: SparkSession, path: str, one_per_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Import ``{"films": {key: id|null}, "persons": {...}}`` documents as two answer tables.
 
-    A missing file is an empty store. This is the way in for old answers only: one JSON document
-    is one row, so a large store belongs in parquet (``append_answers``).
+    A document fills a file, or a line with ``one_per_line``. A missing path is an empty store.
+    This is the way in for old answers only: one document is one row, so a large store belongs in
+    parquet (``append_answers``) or in many small documents.
     """
     try:
-        documents = spark.read.text(path, wholetext=True)
+        documents = spark.read.text(path, wholetext=not one_per_line)
     except AnalysisException as error:
         if not _missing(error):
             raise

@@ -4,18 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from songloom.operators.shape import CATALOGUE_COLUMNS, export_ready
+from songloom.operators.shape import CATALOGUE_COLUMNS, complete_columns, export_ready
+from songloom.plans.staging import stage
 
 BYTE_ORDER_MARK = "\ufeff"
 
 
-def write_csv(songs: DataFrame, path: str, bom: bool = True, mode: str = "errorifexists") -> None:
+def _sorted(songs: DataFrame, staged: bool) -> DataFrame:
+    """Rows in export order. A global sort first samples its input to find the ranges, which runs
+    the part of the plan since the last shuffle twice. ``staged`` writes that part out once instead,
+    which pays when it is a scan of many small remote files."""
+    complete = complete_columns(songs)
+    return export_ready(stage(complete) if staged else complete)
+
+
+def write_csv(
+    songs: DataFrame, path: str, bom: bool = True, mode: str = "errorifexists", staged: bool = False
+) -> None:
     """Sorted CSV part files: header, minimal quoting, doubled quotes, null and ``''`` both blank.
 
     ``bom`` starts each part with a UTF-8 byte-order mark. Part names follow the row order. The
     parts stay apart: joining them would pull the whole table through one task.
     """
-    out = export_ready(songs)
+    out = _sorted(songs, staged)
     if bom:
         first, *others = CATALOGUE_COLUMNS
         out = out.withColumnRenamed(first, BYTE_ORDER_MARK + first)
@@ -42,5 +53,5 @@ def read_csv(spark, path: str) -> DataFrame:
     )
 
 
-def write_parquet(songs: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    export_ready(songs).write.mode(mode).parquet(path)
+def write_parquet(songs: DataFrame, path: str, mode: str = "errorifexists", staged: bool = False) -> None:
+    _sorted(songs, staged).write.mode(mode).parquet(path)
