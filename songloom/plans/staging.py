@@ -28,6 +28,11 @@ def job_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate; far too large rather than too small when it knows little."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write once, read back columnar: later uses scan only the columns they need.
 

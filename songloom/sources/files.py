@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from songloom.plans.staging import estimated_bytes
+
 FILE_GLOB = "*.isb.txt"
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -71,7 +73,7 @@ def spread_if_few(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size = estimated_bytes(df)
     split_bytes = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     tasks = max(len(df.inputFiles()), size // split_bytes)
     return df.repartition(cores) if tasks * 2 <= cores else df
