@@ -139,7 +139,7 @@ def _rolled(hashes: np.ndarray, width: int) -> np.ndarray:
     out = hashes.copy()
     for k in range(1, width):
         out = mix(out * _BASE)
-        out[: len(out) - k] += hashes[k:]
+        out[: max(0, len(out) - k)] += hashes[k:]
     return mix(out)
 
 
