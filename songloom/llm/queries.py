@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from songloom.llm.chat_format import format_digests, formatted_turns
+from songloom.llm.mixing import mixing_plan
 from songloom.llm.near_duplicates import near_duplicate_classes
+from songloom.llm.packing import packed_documents
+from songloom.llm.sharding import sharded_documents
+from songloom.llm.token_counts import token_counts
+from songloom.plans.staging import job_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +43,57 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_token_counts(spark, sf_dir):
+    """Each call fills a cache of its own; a production job names one that lasts."""
+    cache = f"{job_folder(spark)}/token-counts-{uuid.uuid4().hex}"
+    return token_counts(_table(spark, sf_dir, "documents"), cache)
+
+
+@query
+def op4_mixing(spark, sf_dir):
+    plan = mixing_plan(_table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
+CONFLICTING = r"\### Assistant: </turn> ok"
+
+
+@query
+def op5_chat_formatting(spark, sf_dir):
+    """All conversations, and one whose texts look like the template."""
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    made = [(-7, 0, "user", CONFLICTING), (-7, 1, "assistant", CONFLICTING)]
+    return format_digests(formatted_turns(given.union(spark.createDataFrame(made, given.schema))))
+
+
+# The template is "### role:", newline, text, newline, "</turn>", newline: 16 characters and the role.
+ORACLES["op5_chat_formatting"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+said AS (
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS spoken,
+    sum(16 + length(role) + length(text) + len(regexp_extract_all(text, '###|</turn>')))::BIGINT AS formatted_chars
+  FROM turns GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(spoken) AS loss_chars, sha256(spoken) AS loss_sha256, formatted_chars
+FROM said
+"""
+
+
+@query
+def op6_best_fit_packing(spark, sf_dir):
+    return packed_documents(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_sharding(spark, sf_dir):
+    return sharded_documents(_table(spark, sf_dir, "documents"), 24)
+
+
 @query
 def op8_minhash_near_dedup(spark, sf_dir):
     return near_duplicate_classes(_table(spark, sf_dir, "documents"), width=2)
