@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from songloom.llm.chat_format import format_digests, formatted_turns
+from songloom.llm.language_id import identify_languages
 from songloom.llm.mixing import mixing_plan
 from songloom.llm.near_duplicates import near_duplicate_classes
+from songloom.llm.nearest import nearest_neighbours
 from songloom.llm.packing import packed_documents
+from songloom.llm.quality_model import graded_quality, grades_of_labels
+from songloom.llm.quality_rules import quality_verdicts
 from songloom.llm.sharding import sharded_documents
 from songloom.llm.token_counts import token_counts
 from songloom.plans.staging import job_folder
@@ -50,6 +54,19 @@ def op1_token_counts(spark, sf_dir):
     return token_counts(_table(spark, sf_dir, "documents"), cache)
 
 
+@query
+def op2_quality_classifier(spark, sf_dir):
+    graded = grades_of_labels(_table(spark, sf_dir, "labels"))
+    return graded_quality(_table(spark, sf_dir, "documents"), graded)
+
+
+@query
+def op3_quality_rules(spark, sf_dir):
+    """Trusted are the documents labelled good and harmless."""
+    trusted = _table(spark, sf_dir, "labels").filter("quality = 1 and toxic = 0").select("doc_id")
+    return quality_verdicts(_table(spark, sf_dir, "documents"), trusted)
+
+
 @query
 def op4_mixing(spark, sf_dir):
     plan = mixing_plan(_table(spark, sf_dir, "documents"))
@@ -117,10 +134,21 @@ shared AS (
 links AS (
   SELECT a, b FROM shared JOIN sizes p ON a = p.doc_id JOIN sizes q ON b = q.doc_id
   WHERE 100 * k >= 80 * (p.n + q.n - k)),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (
   SELECT doc_id AS start, doc_id AS at FROM sizes
-  UNION SELECT r.start, e.b FROM reach r JOIN both e ON e.a = r.at)
+  UNION SELECT r.start, e.b FROM reach r JOIN edges e ON e.a = r.at)
 SELECT s.doc_id, s.n AS n_shingles, min(r.at) AS component_id, s.doc_id = min(r.at) AS kept
 FROM sizes s JOIN reach r ON r.start = s.doc_id GROUP BY s.doc_id, s.n
 """
+
+
+@query
+def op9_language_id(spark, sf_dir):
+    return identify_languages(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_nearest_neighbours(spark, sf_dir):
+    embeddings = _table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(embeddings, embeddings.filter("vec_id % 20 = 0"))
