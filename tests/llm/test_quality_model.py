@@ -1,0 +1,75 @@
+"""The ordinal model on planted faults it has not seen, and its gradient."""
+
+import random
+
+import numpy as np
+import pytest
+
+from songloom.llm.quality_model import (
+    OrdinalModel, fit_ordinal, graded_quality, grades_of_labels, selected_documents,
+)
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    r = random.Random(9)
+    syllables = ["an", "the", "er", "ing", "on", "st", "ea"]
+    rows, labels = [], []
+    for i in range(1200):
+        words = ["".join(r.choices(syllables, k=r.randint(1, 4))) for _ in range(r.randint(5, 120))]
+        poor, toxic = r.random() < 0.2, r.random() < 0.15
+        if poor:
+            words = [w + "$$$" for w in words] if i % 2 else [w for w in words for _ in range(4)]
+        if toxic:
+            words.insert(r.randrange(len(words)), r.choice(["Vile!", "wretch", "FOUL,"]))
+        rows.append((i, " ".join(words), i, "x"))
+        labels.append((i, int(not poor), int(toxic)))
+    rows += [(5000, None, 1, "x"), (5001, "", 1, "x"), (None, "the an", 1, "x"), (7, rows[7][1], 7, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, grade int, kept string")
+    marks = spark.createDataFrame(labels + [(None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
+    return docs, marks, {i: (q, t) for i, q, t in labels}
+
+
+def test_held_out_faults_are_found(corpus):
+    docs, marks, labels = corpus
+    graded = grades_of_labels(marks.filter("doc_id is null or doc_id % 4 <> 0"))
+    got = graded_quality(docs, graded).collect()
+    assert len(got) == docs.count()
+    held = [g for g in got if g.doc_id is not None and g.doc_id < 1200 and g.doc_id % 4 == 0]
+    clean = [g.kept for g in held if labels[g.doc_id] == (1, 0)]
+    faulty = [g.kept for g in held if labels[g.doc_id] != (1, 0)]
+    assert np.mean(clean) > 0.98 and np.mean(faulty) < 0.1
+    assert all(0 <= g.expected_grade <= 2 and 0 <= g.tail_probability <= 1 for g in got)
+    again = graded_quality(docs.repartition(5), graded).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    kept = selected_documents(docs, graded)
+    assert kept.columns == docs.columns
+    assert sorted((k.doc_id for k in kept.collect()), key=str) == sorted((g.doc_id for g in got if g.kept), key=str)
+
+
+def test_probabilities_are_ordered():
+    model = OrdinalModel(np.zeros(1), np.array([-1.0, 2.0]))
+    p = model.probabilities(np.array([-5.0, 0.0, 5.0]))
+    assert np.allclose(p.sum(axis=1), 1) and (p >= 0).all()
+    assert (np.diff(p[:, -1]) > 0).all()
+
+
+def test_weights_follow_the_grade():
+    r = np.random.default_rng(3)
+    grade = r.integers(0, 3, 600)
+    owner = np.repeat(np.arange(600), 2)
+    feature = np.c_[grade + 10, r.integers(100, 110, 600)].ravel().astype(np.int32)
+    model = fit_ordinal(owner, feature, grade, 3)
+    assert model.weights[10] <= model.weights[11] < model.weights[12]
+    assert np.all(np.diff(model.thresholds) > 0)
+
+
+def test_nothing_to_learn_from(spark, corpus):
+    docs = corpus[0]
+    none = spark.createDataFrame([], "doc_id long, grade int")
+    assert {g.kept for g in graded_quality(docs, none).collect()} == {True}
+    one = spark.createDataFrame([(1, 2), (2, 2)], "doc_id long, grade int")
+    assert {g.expected_grade for g in graded_quality(docs, one).collect()} == {2.0}
+    assert selected_documents(docs, none).count() == docs.count()
+    empty = spark.createDataFrame([], docs.schema)
+    assert graded_quality(empty, grades_of_labels(corpus[1])).count() == 0
