@@ -133,8 +133,9 @@ SELECT page_id AS isb_id,
             WHEN page_id % 10 = 5 THEN REPLACE(REPLACE(html, '<h1', '<h2'), '<title>', '<title>' || url || ' | ')
             ELSE html END ||
        '<!-- <b>Film:</b> in a comment --><script>var s = "<b>Film:</b> in a script";</script>' ||
+       '<style-x>shown</style-x><pre-note>no lyrics</pre-note>' ||
        '<p><b>Film:</b> first<br/>' ||
-       '<b class="l">Movie</b>: ' || url || ' &amp; more<br/>' ||
+       '<b class="l">Movie</b>: ' || url || ' &amp; more&apos;s &copy 5 &ampx<br/>' ||
        CASE WHEN page_id % 4 = 0 THEN '<b>YEAR:</b> n/a ' ELSE '<B>Year</B>: ' || CAST(1900 + page_id AS STRING) || ' ' END ||
        '<b>Singers:</b>' || CASE WHEN page_id % 2 = 0 THEN ' A ' || CAST(page_id AS STRING) || ', B ' ELSE '<br>' END ||
        '<b>Composer:</b> : C &copy; D<i>x</i><b>Cast:</b></p>' ||
@@ -175,7 +176,7 @@ PERSON_CATALOGUE = """
 SELECT CAST(s_suppkey AS STRING) AS cand_id, s_name AS cand_name, s_suppkey AS rank FROM @supplier
 """
 
-# Answers of an earlier run: every other film spelling by its length, half of them misses.
+# Answers of an earlier run: the films under the year of their part, those of odd parts as misses.
 KNOWN_FILMS = """
 SELECT p_name || '|' || CAST(1952 + p_size AS STRING) AS cache_key,
        CASE WHEN MIN(p_partkey) % 2 = 0 THEN 'tt' || CAST(MIN(p_partkey) AS STRING) END AS imdb_id
@@ -186,6 +187,22 @@ SELECT n_name AS name, CASE WHEN n_nationkey % 3 > 0 THEN 'nm' || CAST(n_nationk
 FROM @nation
 """
 
+# Every supplier's name behind a word, as asked and as listed.
+LOOK_ALIKES = """
+SELECT 'Maestro ' || s_name AS asked, 'Ustad ' || s_name AS listed, CAST(s_suppkey AS STRING) AS cand_id, s_suppkey AS rank
+FROM @supplier
+"""
+
+# Files as they lie on disk: songs, songs without a word under names without digits, and some that are no song files.
+DISK_FILES = """
+SELECT CAST(s_suppkey AS STRING) || '.isb.txt' AS name,
+       CAST(chr(92) || 'film' || chr(123) || s_name || chr(125) || chr(10) || chr(92) || 'singer' || chr(123) || 'A' || chr(125)
+         || chr(10) || '#indian' || chr(10) || 'line ' || s_name || chr(10) || '#endindian' || chr(10) AS @blob) AS content
+FROM @supplier
+UNION ALL SELECT 'x' || CAST(n_nationkey AS STRING) || '.isb.txt', CAST('%' AS @blob) FROM @nation
+UNION ALL SELECT CAST(r_regionkey AS STRING) || '.txt', CAST('not a song file' AS @blob) FROM @region
+"""
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -197,6 +214,7 @@ DRIVING = ["orders", "events", "pages"]
 
 
 def for_duckdb(sql: str) -> str:
+    sql = sql.replace("@blob", "BLOB")
     return re.sub(r"@(\w+)", r"\1", sql)
 
 
@@ -205,8 +223,10 @@ def derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
     def view(match: re.Match) -> str:
         name = match.group(1)
-        table = read_table(spark, f"{sf_dir}/{name}.parquet", spread=name in DRIVING)
+        table = read_table(spark, f"{sf_dir}/{name}.parquet")
+        if name in DRIVING:  # one small file each here, and much work for each row
+            table = table.repartition(spark.sparkContext.defaultParallelism)
         table.createOrReplaceTempView(f"given_{name}")
         return f"given_{name}"
 
-    return spark.sql(re.sub(r"@(\w+)", view, sql))
+    return spark.sql(re.sub(r"@(\w+)", view, sql.replace("@blob", "BINARY")))

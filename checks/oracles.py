@@ -97,7 +97,10 @@ add(
 
 # --- web pages -----------------------------------------------------------------------------
 
-AMP = "replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
+AMP = (
+    "replace(replace(replace(replace(replace(replace(replace({}, '&copy;', '©'), '&copy ', '© '), '&apos;', chr(39)), "
+    "'&middot;', '·'), '&quot;', '\"'), '&amp;', '&'), '&ampx', '&x')"
+)
 
 
 def decoded(text: str) -> str:
@@ -106,7 +109,7 @@ def decoded(text: str) -> str:
 
 SHOWN = (
     "regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), "
-    "'(?is)<script.*?</script>|<style.*?</style>', '', 'g')"
+    "'(?is)<script(?: [^>]*)?>.*?</script>|<style(?: [^>]*)?>.*?</style>', '', 'g')"
 )
 TITLE = decoded("trim(regexp_extract(html, '(?is)<title>(.*?)</title', 1))")
 LABEL = "rtrim(lower(trim(label)), ':')"
@@ -137,7 +140,7 @@ worked AS (SELECT t.isb_id, raw, title,
        WHEN contains(title, '|') THEN trim(split_part(title, '|', 1)) ELSE '' END AS stitle,
   COALESCE(film, '') AS film, year, COALESCE(starring, '') AS starring, COALESCE(singer, '') AS singer,
   COALESCE(music, '') AS music, COALESCE(lyricist, '') AS lyricist,
-  CASE WHEN contains(html, '<pre') THEN trim({decoded("replace(regexp_extract(html, '(?s)<pre>(.*?)</pre>', 1), '<br>', chr(10))")}, {BLANKS})
+  CASE WHEN contains(html, '<pre>') THEN trim({decoded("replace(regexp_extract(html, '(?s)<pre>(.*?)</pre>', 1), '<br>', chr(10))")}, {BLANKS})
        WHEN contains(html, 'id="MyLyrics"') THEN trim({decoded(
            "replace(replace(regexp_extract(html, '(?s)id=.MyLyrics.>(.*</div>.*?)</div>', 1), '<div>', chr(10)), '</div>', chr(10))")}, {BLANKS})
        ELSE '' END AS lyrics_rendered
@@ -161,7 +164,7 @@ routed AS (SELECT i.isb_id, status,
   status = 200 AND length(html) >= 500
     AND NOT contains(lower(regexp_extract(html, '(?is)<title>(.*?)</title', 1)), 'not found') AS ok,
   regexp_extract(html, '<pre>([^<]*)</pre>', 1) AS lyrics
-  FROM (SELECT DISTINCT isb_id FROM log WHERE attempt <= 3) i LEFT JOIN ends e ON e.isb_id = i.isb_id)
+  FROM (SELECT DISTINCT isb_id FROM log) i LEFT JOIN ends e ON e.isb_id = i.isb_id)
 """
 add(
     "route_fetch_log",
@@ -203,7 +206,14 @@ add(
     {won('singer', "COALESCE({}, '') = ''")}, {won('music', "COALESCE({}, '') = ''")} {JOINED}""",
 )
 add("last_file_per_id", f"WITH {LAST} SELECT * EXCLUDE (rn) FROM f")
-add("source_choice", f"SELECT isb_id, source_file, film FROM ({I.FILE_SONGS}) f")
+_FILES_ONLY = f"SELECT '{{}}' AS branch, isb_id, film FROM ({I.FILE_SONGS}) f"
+_SCRAPED_ONLY = f"SELECT '{{}}' AS branch, isb_id, film FROM ({I.SCRAPED_SONGS}) s"
+add(
+    "source_choice",
+    f"""WITH {MERGED} {_FILES_ONLY.format('files')} UNION ALL {_SCRAPED_ONLY.format('scraped')}
+    UNION ALL SELECT 'both', isb_id, film FROM merged
+    UNION ALL {_SCRAPED_ONLY.format('no files')} UNION ALL {_FILES_ONLY.format('no scraped')}""",
+)
 add(
     "upsert_latest",
     """SELECT user_id AS isb_id, event_id, event_type FROM (
@@ -228,7 +238,11 @@ add(
     f"""WITH {MERGED} SELECT isb_id, film, source_file FROM merged
     ORDER BY COALESCE(isb_id, 0), source_file NULLS LAST LIMIT 500""",
 )
-add("export_order", f"WITH {MERGED} SELECT isb_id, source_file FROM merged ORDER BY isb_id NULLS LAST, source_file NULLS LAST")
+add(
+    "export_order",
+    f"""WITH {MERGED} SELECT isb_id, source_file,
+    row_number() OVER (ORDER BY isb_id NULLS LAST, source_file NULLS LAST) - 1 AS position FROM merged""",
+)
 EMPTY_IDS = """CAST(NULL AS VARCHAR) AS imdb_film_id, CAST(NULL AS VARCHAR) AS imdb_singer_ids,
 CAST(NULL AS VARCHAR) AS imdb_music_ids, CAST(NULL AS VARCHAR) AS imdb_lyricist_ids"""
 add(
@@ -238,9 +252,25 @@ add(
 )
 add("distinct_film_years", f"SELECT DISTINCT film, year FROM ({PARSED}) p")
 add(
-    "catalogue_summary",
-    f"""SELECT COUNT(*) AS total_songs, COUNT(DISTINCT film) AS films_covered, MIN(year) AS first_year,
-    MAX(year) AS last_year, CAST(0 AS BIGINT) AS matched, CAST(NULL AS DOUBLE) AS matched_percent FROM ({PARSED}) p""",
+    "file_scan",
+    f"""SELECT CAST(s_suppkey AS INT) AS isb_id, s_name AS film, 'A' AS singer, 'line ' || s_name AS lyrics_itrans,
+    CAST(s_suppkey AS VARCHAR) || '.isb.txt' AS source_file FROM supplier
+    UNION ALL SELECT NULL, '', '', '', 'x' || CAST(n_nationkey AS VARCHAR) || '.isb.txt' FROM nation""",
+)
+add(
+    "run_counters",
+    f"""WITH {ROUTED}, done AS ({I.SCRAPED_SONGS}), todo AS (SELECT * FROM routed WHERE isb_id NOT IN (SELECT isb_id FROM done))
+    SELECT 'parsed' AS counter, COUNT(*) AS n FROM ({I.SONG_FILES}) f
+    UNION ALL SELECT 'skipped', COUNT(*) FROM routed WHERE isb_id IN (SELECT isb_id FROM done)
+    UNION ALL SELECT 'saved', COUNT(*) FROM todo WHERE ok
+    UNION ALL SELECT 'failed', COUNT(*) FROM todo WHERE NOT COALESCE(ok, false)
+    UNION ALL SELECT 'films_resolved', COUNT(imdb_id) FROM ({I.KNOWN_FILMS}) f
+    UNION ALL SELECT 'people_resolved', COUNT(imdb_id) FROM ({I.KNOWN_PEOPLE}) p""",
+)
+add(
+    "ingest_replayed",
+    f"""WITH {ROUTED} SELECT CAST(isb_id AS INT) AS isb_id, CASE WHEN ok THEN 'saved' ELSE 'failed' END AS outcome,
+    CASE WHEN ok THEN lyrics END AS lyrics_rendered FROM routed""",
 )
 
 # --- names and matching --------------------------------------------------------------------
@@ -395,6 +425,26 @@ add(
     {with_ids('songs', 'film_ids', 'person_ids', 's.source_file')}""",
 )
 
+add(
+    "catalogue_summary",
+    f"""WITH songs AS ({I.FILE_SONGS}), film_ids AS ({I.KNOWN_FILMS}),
+    linked AS (SELECT s.film, s.year, fi.imdb_id FROM songs s LEFT JOIN film_ids fi ON COALESCE(s.film, '') <> '' AND
+      fi.cache_key = CASE WHEN COALESCE(s.year, 0) = 0 THEN s.film ELSE s.film || '|' || CAST(s.year AS VARCHAR) END)
+    SELECT COUNT(*) AS total_songs, COUNT(DISTINCT film) AS films_covered, MIN(year) AS first_year, MAX(year) AS last_year,
+    COUNT(imdb_id) AS matched,
+    CASE WHEN COUNT(imdb_id) > 0 THEN ROUND(100.0::DOUBLE * COUNT(imdb_id) / COUNT(*), 1) END AS matched_percent FROM linked""",
+)
+add(
+    "resolve_look_alikes",
+    f"""WITH names AS ({I.LOOK_ALIKES}),
+    a AS (SELECT asked, {key('asked')} AS a FROM names), b AS (SELECT cand_id, rank, {key('listed')} AS b FROM names),
+    scored AS (SELECT a, b, {ratio('a', 'b')} AS score
+               FROM (SELECT DISTINCT a FROM a) x CROSS JOIN (SELECT DISTINCT b FROM b) y),
+    best AS (SELECT asked, cand_id, row_number() OVER (PARTITION BY asked ORDER BY score DESC, rank) AS rn
+             FROM a JOIN scored USING (a) JOIN b USING (b) WHERE score >= 78)
+    SELECT a.asked AS name, 'nm' || best.cand_id AS imdb_id FROM a LEFT JOIN best ON best.asked = a.asked AND rn = 1""",
+)
+
 # --- whole jobs ----------------------------------------------------------------------------
 
 PARSED_MERGED = MERGED.replace(f"files AS ({I.FILE_SONGS})", f"files AS ({PARSED})")
@@ -433,3 +483,11 @@ add(
     f"""WITH {PAGES} SELECT CAST(isb_id AS INT) AS isb_id,
     CASE WHEN {VALID} THEN 'saved' ELSE 'parse_failed_or_404' END AS outcome FROM worked""",
 )
+ORACLES["catalogue_from_answers"] = ORACLES["catalogue"]
+add(
+    "catalogue_limited",
+    f"""WITH {PARSED_MERGED}, first_songs AS (
+      SELECT * FROM merged ORDER BY COALESCE(isb_id, 0), source_file NULLS LAST LIMIT 700),
+    film_ids AS ({I.KNOWN_FILMS}), person_ids AS ({I.KNOWN_PEOPLE})
+    {with_ids('first_songs', 'film_ids', 'person_ids', _S_FIELDS)}""",
+)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import inputs as I
@@ -15,7 +17,7 @@ from songloom.functions.text import clean_lyrics, clean_title, file_id, leading_
 from songloom.operators import matching, resolve, summary
 from songloom.operators.fetch_log import route_fetches
 from songloom.operators.merge import choose_source, last_per_id, merge_sources
-from songloom.operators.shape import complete_columns, export_ready, file_order, first_n, merge_order
+from songloom.operators.shape import complete_columns, export_ready, file_key, first_n, merge_key
 from songloom.operators.tagged_text import (
     header_lines,
     is_ignored_line,
@@ -37,8 +39,8 @@ from songloom.operators.web_pages import (
 from songloom.plans.catalogue import build_catalogue
 from songloom.plans.staging import job_folder, stage
 from songloom.sources import answers, csv_sink, store
-from songloom.sources.files import read_table
-from songloom.streaming.ingest import ingest_pages
+from songloom.sources.files import read_song_files, read_table
+from songloom.streaming.ingest import ingest_fetches, ingest_pages, log_batch, source_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,6 +55,10 @@ def _scratch(spark: SparkSession) -> str:
     return f"{job_folder(spark)}/run-{uuid.uuid4().hex}"
 
 
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    return read_table(spark, f"{sf}/documents.parquet").repartition(spark.sparkContext.defaultParallelism)
+
+
 def _songs(spark: SparkSession, sf: str) -> DataFrame:
     return parse_songs(I.derive(spark, sf, I.SONG_FILES))
 
@@ -108,7 +114,7 @@ def extract_tags(spark, sf):
 
 @query
 def clean_lyrics_text(spark, sf):
-    documents = read_table(spark, f"{sf}/documents.parquet")
+    documents = _documents(spark, sf)
     return documents.select("doc_id", clean_lyrics(F.col("text")).alias("cleaned"))
 
 
@@ -198,8 +204,16 @@ def last_file_per_id(spark, sf):
 
 @query
 def source_choice(spark, sf):
-    """One source only: passed through without a dedupe."""
-    return choose_source(I.derive(spark, sf, I.FILE_SONGS), None).select("isb_id", "source_file", "film")
+    """All branches: files only, scraped only, both, and an empty side, which counts as absent."""
+    files, scraped = I.derive(spark, sf, I.FILE_SONGS), I.derive(spark, sf, I.SCRAPED_SONGS)
+    none = files.filter("isb_id = -1")
+    branches = {
+        "files": choose_source(files, None), "scraped": choose_source(None, scraped), "both": choose_source(files, scraped),
+        "no files": choose_source(none, scraped), "no scraped": choose_source(files, scraped.filter("isb_id = -1")),
+    }
+    return reduce(
+        DataFrame.unionByName, [f.select(F.lit(name).alias("branch"), "isb_id", "film") for name, f in branches.items()]
+    )
 
 
 @query
@@ -229,20 +243,28 @@ def pending_song_ids(spark, sf):
 @query
 def first_files(spark, sf):
     songs = I.derive(spark, sf, I.FILE_SONGS)
-    return first_n(songs, 500, file_order()).select("isb_id", "source_file")
+    return first_n(songs, 500, file_key()).select("isb_id", "source_file")
 
 
 @query
 def first_merged(spark, sf):
     merged = merge_sources(I.derive(spark, sf, I.FILE_SONGS), I.derive(spark, sf, I.SCRAPED_SONGS))
-    return first_n(merged, 500, merge_order(merged.columns)).select("isb_id", "film", "source_file")
+    return first_n(merged, 500, merge_key(merged.columns)).select("isb_id", "film", "source_file")
 
 
 @query
 def export_order(spark, sf):
-    """Rows in export order, numbered from the sorted output."""
+    """Rows in export order, numbered from the written files: their order by name, and the rows in each."""
+    path = _scratch(spark)
     merged = merge_sources(I.derive(spark, sf, I.FILE_SONGS), I.derive(spark, sf, I.SCRAPED_SONGS))
-    return export_ready(merged).select("isb_id", "source_file")
+    csv_sink.write_parquet(merged, path)
+    placed = spark.read.parquet(path).select(
+        "isb_id", "source_file", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at")
+    )
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
+    files = placed.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
+    starts = files.select("file", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    return placed.join(starts, "file").select("isb_id", "source_file", (F.col("start") + F.col("at")).alias("position"))
 
 
 @query
@@ -257,7 +279,39 @@ def distinct_film_years(spark, sf):
 
 @query
 def catalogue_summary(spark, sf):
-    return summary.summarise(_songs(spark, sf))
+    """Of songs with ids, so that there are matches to count."""
+    return summary.summarise(_linked_songs(spark, sf))
+
+
+@query
+def file_scan(spark, sf):
+    """Tagged files on disk, one for each supplier and some of other names, scanned and parsed."""
+    folder = _scratch(spark)
+    made = I.derive(spark, sf, I.DISK_FILES)
+
+    def write(rows):
+        path = folder.removeprefix("file://").removeprefix("file:")  # a folder that all executors share
+        os.makedirs(path, exist_ok=True)
+        for row in rows:
+            with open(f"{path}/{row.name}", "wb") as out:
+                out.write(bytes(row.content))
+
+    made.foreachPartition(write)
+    return parse_songs(read_song_files(spark, folder)).select("isb_id", "film", "singer", "lyrics_itrans", "source_file")
+
+
+@query
+def run_counters(spark, sf):
+    """Files, fetches, skipped ids and resolved names of a job."""
+    log = I.derive(spark, sf, I.FETCH_LOG)
+    done = I.derive(spark, sf, I.SCRAPED_SONGS).select(F.col("isb_id").cast("bigint").alias("isb_id"))
+    return summary.job_counters(
+        parsed=_songs(spark, sf),
+        outcomes=route_fetches(log.join(done, "isb_id", "left_anti")),
+        skipped=log.select("isb_id").distinct().join(done, "isb_id", "left_semi"),
+        film_answers=I.derive(spark, sf, I.KNOWN_FILMS),
+        person_answers=I.derive(spark, sf, I.KNOWN_PEOPLE),
+    )
 
 
 # --- names and matching --------------------------------------------------------------------
@@ -265,19 +319,19 @@ def catalogue_summary(spark, sf):
 
 @query
 def normalise_text(spark, sf):
-    documents = read_table(spark, f"{sf}/documents.parquet")
+    documents = _documents(spark, sf)
     return documents.select("doc_id", normalise_name(F.col("text")).alias("name"))
 
 
 @query
 def sort_name_tokens(spark, sf):
-    documents = read_table(spark, f"{sf}/documents.parquet")
+    documents = _documents(spark, sf)
     return documents.select("doc_id", name_key(F.col("text")).alias("name_key"))
 
 
 @query
 def split_credit_names(spark, sf):
-    documents = read_table(spark, f"{sf}/documents.parquet")
+    documents = _documents(spark, sf)
     names = split_names(F.col("text"))
     return documents.select(
         "doc_id", F.size(names).cast("bigint").alias("n"), F.array_join(names, "~").alias("names")
@@ -290,8 +344,9 @@ def token_sort_scores(spark, sf):
     pairs = I.derive(spark, sf, I.LOOKUPS).join(
         I.derive(spark, sf, I.SONG_SOURCE).select(F.col("k").alias("lookup_key"), "p_name"), "lookup_key"
     )
-    score = token_sort_ratio(F.col("query"), F.col("p_name"))
-    return pairs.select("lookup_key", F.round(score, 6).alias("score"))
+    distinct = pairs.select("query", "p_name").distinct()
+    scored = distinct.withColumn("score", F.round(token_sort_ratio(F.col("query"), F.col("p_name")), 6))
+    return pairs.join(scored, ["query", "p_name"]).select("lookup_key", "score")
 
 
 @query
@@ -383,20 +438,31 @@ def json_answers(spark, sf):
 
 @query
 def first_credit_names(spark, sf):
-    documents = read_table(spark, f"{sf}/documents.parquet")
+    documents = _documents(spark, sf)
     return documents.select("doc_id", resolve.first_name(F.col("text")).alias("name"))
 
 
-@query
-def attach_ids(spark, sf):
+def _linked_songs(spark, sf):
     songs = I.derive(spark, sf, I.FILE_SONGS)
     films = I.derive(spark, sf, I.KNOWN_FILMS)
     people = I.derive(spark, sf, I.PERSON_CATALOGUE).select(
         F.col("cand_name").alias("name"), F.concat(F.lit("nm"), F.col("cand_id")).alias("imdb_id")
     ).unionByName(I.derive(spark, sf, I.KNOWN_PEOPLE))
-    return resolve.attach_ids(songs, films, people).select(
-        "source_file", "imdb_film_id", *resolve.ROLE_COLUMNS.values()
-    )
+    return resolve.attach_ids(songs, films, people)
+
+
+@query
+def attach_ids(spark, sf):
+    return _linked_songs(spark, sf).select("source_file", "imdb_film_id", *resolve.ROLE_COLUMNS.values())
+
+
+@query
+def resolve_look_alikes(spark, sf):
+    """Supplier names behind a word, looked up among the same names behind another: all are alike."""
+    names = I.derive(spark, sf, I.LOOK_ALIKES)
+    lookups = names.select(F.col("asked").alias("lookup_key"), F.col("asked").alias("query"), F.lit(None).cast("int").alias("year"))
+    people = names.select("cand_id", F.col("listed").alias("cand_name"), "rank")
+    return resolve.resolve_people(lookups, people)
 
 
 # --- whole jobs ----------------------------------------------------------------------------
@@ -434,10 +500,50 @@ def incremental_ingest(spark, sf):
     """Stream all pages into a store, run again, and read the store."""
     target = _scratch(spark)
     pages = stage(I.derive(spark, sf, I.LABELLED_PAGES))
-    folder = pages.inputFiles()[0].rsplit("/", 1)[0]
+    folder = pages.select(F.regexp_replace("_metadata.file_path", "/[^/]*$", "")).first()[0]
     for _ in range(2):
         stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 100).parquet(folder)
         ingest_pages(stream, f"{target}/store", f"{target}/checkpoint").awaitTermination()
     songs = store.read_store(spark, f"{target}/store", "songs").select("isb_id", F.lit("saved").alias("outcome"))
     failed = store.read_store(spark, f"{target}/store", "failures").select("isb_id", "reason")
     return songs.unionByName(failed.withColumnRenamed("reason", "outcome"))
+
+
+@query
+def ingest_replayed(spark, sf):
+    """The fetch log streamed with the attempts of an id in different batches, one of them written twice."""
+    target = _scratch(spark)
+    log = I.derive(spark, sf, I.FETCH_LOG)
+    log.repartition(4, "attempt").write.parquet(f"{target}/log")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{target}/log")
+    ingest_fetches(stream, f"{target}/store", f"{target}/checkpoint").awaitTermination()
+    again = spark.read.parquet(f"{target}/log").filter("attempt > 1")
+    nobody = again.select("isb_id").limit(0)
+    for _ in range(2):
+        log_batch(again, f"{target}/store", source_of(spark, f"{target}/checkpoint"), 1_000, nobody)
+    songs = store.read_store(spark, f"{target}/store", "songs").select("isb_id", F.lit("saved").alias("outcome"), "lyrics_rendered")
+    failed = store.read_store(spark, f"{target}/store", "failures").select(
+        "isb_id", F.lit("failed").alias("outcome"), F.lit(None).cast("string").alias("lyrics_rendered")
+    )
+    return songs.unionByName(failed)
+
+
+@query
+def catalogue_from_answers(spark, sf):
+    """A run that saves its answers, and another that has nothing but them."""
+    answered = _scratch(spark)
+    sources = {"files": I.derive(spark, sf, I.SONG_FILES), "scraped": I.derive(spark, sf, I.SCRAPED_SONGS)}
+    build_catalogue(
+        **sources, films=I.derive(spark, sf, I.FILM_CATALOGUE), people=I.derive(spark, sf, I.PERSON_CATALOGUE),
+        known_people=I.derive(spark, sf, I.KNOWN_PEOPLE), answers=answered,
+    )
+    return build_catalogue(**sources, answers=answered)
+
+
+@query
+def catalogue_limited(spark, sf):
+    """The first songs only, with ids from stored answers."""
+    return build_catalogue(
+        files=I.derive(spark, sf, I.SONG_FILES), scraped=I.derive(spark, sf, I.SCRAPED_SONGS),
+        known_films=I.derive(spark, sf, I.KNOWN_FILMS), known_people=I.derive(spark, sf, I.KNOWN_PEOPLE), limit=700,
+    )

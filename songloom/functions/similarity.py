@@ -10,6 +10,7 @@ from songloom.functions.text import strip
 # Bits per word of the subsequence fold: two such words add up without overflowing a bigint.
 _WORD = 62
 _FULL = (1 << _WORD) - 1
+_MARK = "\x01"
 
 
 def normalise_name(text: Column) -> Column:
@@ -68,11 +69,27 @@ def _places(letters: Column, letter: Column) -> Column:
     )
 
 
+def _letter_places(text: Column) -> Column:
+    """``map<letter, bits>``: for each letter of a text of one word the places where it stands.
+
+    The first character is the highest bit. String functions mark the places, so that no step of it
+    is interpreted letter by letter.
+    """
+
+    def bits(letter: Column) -> Column:
+        marked = F.replace(text, letter, F.lit(_MARK))
+        digits = F.replace(F.regexp_replace(marked, f"[^{_MARK}]", "0"), F.lit(_MARK), F.lit("1"))
+        return F.conv(digits, 2, 10).cast("bigint")
+
+    letters = F.array_distinct(F.split(text, ""))
+    return F.map_from_arrays(letters, F.transform(letters, bits))
+
+
 def _one_word(a: Column, b: Column) -> Column:
     """``a`` fits one word. Its first character is the highest bit, so ``b`` is read backwards."""
     places = _bind(
-        F.split(a, ""),
-        lambda letters: F.transform(F.split(F.reverse(b), ""), lambda letter: _places(letters, letter)),
+        _letter_places(a),
+        lambda at: F.transform(F.split(F.reverse(b), ""), lambda letter: F.coalesce(F.try_element_at(at, letter), F.lit(0))),
     )
 
     def step(v, m):

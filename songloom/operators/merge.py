@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from songloom.functions.text import leading_number
 
+# The fields of a scraped song, and those that only files have.
 SCRAPED_FIELDS = [
     "stitle", "film", "year", "starring", "singer", "music", "lyricist", "lyrics_rendered",
 ]

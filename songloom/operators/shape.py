@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from songloom.functions.text import leading_number
@@ -27,15 +27,18 @@ CATALOGUE_COLUMNS = {
 }
 
 
-def file_order() -> list[Column]:
-    """By the digits a file name starts with, 0 when none; then by name."""
-    return [leading_number(F.col("source_file")), F.col("source_file").asc_nulls_first()]
+def file_key() -> Column:
+    """By the digits a file name starts with, 0 when none; then by name, null first."""
+    name = F.col("source_file")
+    return F.struct(leading_number(name).alias("k1"), name.isNotNull().alias("k2"), F.coalesce(name, F.lit("")).alias("k3"))
 
 
-def merge_order(columns: list[str]) -> list[Column]:
-    """By id with null as 0; the file name splits ties where there is one."""
-    order = [F.coalesce(F.col("isb_id"), F.lit(0)).asc()]
-    return order + ([F.col("source_file").asc_nulls_last()] if "source_file" in columns else [])
+def merge_key(columns: list[str]) -> Column:
+    """By id with null as 0; the file name, null last, splits ties where there is one."""
+    name = F.col("source_file") if "source_file" in columns else F.lit(None).cast("string")
+    return F.struct(
+        F.coalesce(F.col("isb_id"), F.lit(0)).alias("k1"), name.isNull().alias("k2"), F.coalesce(name, F.lit("")).alias("k3")
+    )
 
 
 def export_order(columns: list[str]) -> list[Column]:
@@ -44,11 +47,25 @@ def export_order(columns: list[str]) -> list[Column]:
     return order + ([F.col("source_file").asc_nulls_last()] if "source_file" in columns else [])
 
 
-def first_n(songs: DataFrame, n: int | None, order: list[Column]) -> DataFrame:
-    """The first ``n`` rows in ``order`` as a top-k; 0 or none means all rows."""
+def first_n(songs: DataFrame, n: int | None, key: Column) -> DataFrame:
+    """The first ``n`` rows by a non-null ``key``, in that order; 0 or none means all rows as they are.
+
+    Only keys are sorted: they give the last key that is in and how many rows with it are. The rows
+    with their texts are then filtered where they lie, and are never brought together.
+    """
     if n is not None and n < 0:
         raise ValueError("the limit must not be negative")
-    return songs.orderBy(*order).limit(n) if n else songs
+    if not n:
+        return songs
+    first = songs.select(key.alias("key")).orderBy("key").limit(n)
+    counts = first.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    last = counts.agg(F.max(F.struct("key", "n")).alias("last")).scalar()
+    keyed = songs.select(key.alias("_key"), last.alias("_last"), "*")
+    inside = keyed.filter(F.col("_key") < F.col("_last")["key"])
+    at_end = keyed.filter(F.col("_key") == F.col("_last")["key"])
+    place = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    some = at_end.withColumn("_place", place).filter(F.col("_place") <= F.col("_last")["n"]).drop("_place")
+    return inside.unionByName(some).orderBy("_key").drop("_key", "_last")
 
 
 def complete_columns(songs: DataFrame) -> DataFrame:

@@ -6,9 +6,17 @@ from pyspark.sql import DataFrame
 
 from songloom.operators.merge import choose_source
 from songloom.operators.resolve import enrich_songs
-from songloom.operators.shape import complete_columns, file_order, first_n, merge_order
+from songloom.operators.shape import complete_columns, file_key, first_n, merge_key
 from songloom.operators.tagged_text import parse_songs
 from songloom.plans.staging import stage
+from songloom.sources.answers import (
+    FILM_SCHEMA,
+    PERSON_SCHEMA,
+    append_answers,
+    new_answers,
+    one_per_key,
+    read_answers,
+)
 
 
 def load_songs(
@@ -22,8 +30,7 @@ def load_songs(
     parsed = None if files is None else parse_songs(files, keep_starring)
     songs = choose_source(parsed, scraped, fill_blanks)
     from_files_only = "lyrics_rendered" not in songs.columns
-    order = file_order() if from_files_only else merge_order(songs.columns)
-    return first_n(songs, limit, order)
+    return first_n(songs, limit, file_key() if from_files_only else merge_key(songs.columns))
 
 
 def build_catalogue(
@@ -36,15 +43,32 @@ def build_catalogue(
     limit: int | None = None,
     keep_starring: bool = False,
     fill_blanks: bool = False,
+    answers: str | None = None,
 ) -> DataFrame:
-    """The finished table. Without film and person catalogues the id columns stay null.
+    """The finished table.
 
-    With them the loaded songs are staged once, because both the lookups and the final join read
-    them: the lookups then scan five narrow columns instead of parsing every text again.
+    Ids come from stored answers, given as tables or kept in the folder ``answers``, and for names
+    without one from the film and person catalogues. New answers, misses included, are appended to
+    that folder. Without any of these the id columns stay null.
+
+    Not all of it is lazy: whether a source is empty is looked up, and with ids the loaded songs and
+    the answers are written to the job's folder first, since several steps read them. Those tables
+    last until ``staging.dropping_stages`` or the job's folder is dropped.
     """
     songs = load_songs(files, scraped, limit, keep_starring, fill_blanks)
-    if films is not None and people is not None:
-        songs, _, _ = enrich_songs(stage(songs), films, people, known_films, known_people)
-    elif films is not None or people is not None:
-        raise ValueError("enrichment needs both a film and a person catalogue")
+    if answers is not None:
+        spark = songs.sparkSession
+        known_films = _with_stored(known_films, read_answers(spark, f"{answers}/films", FILM_SCHEMA))
+        known_people = _with_stored(known_people, read_answers(spark, f"{answers}/people", PERSON_SCHEMA))
+    if all(table is None for table in (films, people, known_films, known_people)):
+        return complete_columns(songs)
+    songs, film_answers, person_answers = enrich_songs(stage(songs), films, people, known_films, known_people)
+    if answers is not None:
+        append_answers(film_answers, f"{answers}/films", FILM_SCHEMA)
+        append_answers(person_answers, f"{answers}/people", PERSON_SCHEMA)
     return complete_columns(songs)
+
+
+def _with_stored(given: DataFrame | None, stored: DataFrame) -> DataFrame:
+    """Given answers go before stored ones of the same key."""
+    return stored if given is None else one_per_key(given).unionByName(new_answers(stored, given))

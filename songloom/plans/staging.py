@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _local_folder: str | None = None
+_open_scopes: list[list[tuple[str, StructType]]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,11 +32,6 @@ def job_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; far too large rather than too small when it knows little."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def stage(df: DataFrame) -> DataFrame:
     """Write once, read back columnar: later uses scan only the columns they need.
 
@@ -42,4 +41,21 @@ def stage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{job_folder(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for written in _open_scopes[-1:]:
+        written.append((path, df.schema))
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def dropping_stages(spark: SparkSession) -> Iterator[None]:
+    """Give back the space of all stages written inside, once the block is over.
+
+    Frames that read them must have been used by then. Overwriting with no rows works through any
+    file system that Spark can write to.
+    """
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path, schema in _open_scopes.pop():
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+# The two answer tables.
 FILM_SCHEMA = "cache_key string, imdb_id string"
 PERSON_SCHEMA = "name string, imdb_id string"
 _JSON_SCHEMA = "films map<string,string>, persons map<string,string>"
@@ -37,19 +38,29 @@ def read_answers_json(
 
 
 def read_answers(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A parquet answer table; a missing one is empty."""
+    """A parquet answer table with one row per key; a missing one is empty.
+
+    Two runs that append at once may both store a key.
+    """
     try:
-        return spark.read.schema(schema).parquet(path)
+        stored = spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if not _missing(error):
             raise
         return spark.createDataFrame([], schema)
+    return one_per_key(stored)
+
+
+def one_per_key(answers: DataFrame) -> DataFrame:
+    """Of answers with one key a hit before a miss, then the least id; null keys are dropped."""
+    key, value = answers.columns
+    return answers.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
 
 
 def new_answers(answers: DataFrame, known: DataFrame) -> DataFrame:
-    """Answers whose key is not stored yet; a stored miss counts as stored."""
+    """Answers whose key is not stored yet, one per key; a stored miss counts as stored."""
     key = answers.columns[0]
-    return answers.join(known.select(key), key, "left_anti")
+    return one_per_key(answers).join(known.select(key), key, "left_anti")
 
 
 def append_answers(answers: DataFrame, path: str, schema: str) -> None:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from songloom.plans.staging import estimated_bytes
-
 FILE_GLOB = "*.isb.txt"
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -65,24 +63,13 @@ def stream_song_files(spark: SparkSession, folder: str, files_per_batch: int = 1
     return _song_file_rows(files)
 
 
-def spread_if_few(df: DataFrame) -> DataFrame:
-    """Share out a scan of few, small files over all cores before costly per-row work.
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Scraped rows, pages or fetch logs kept as parquet.
 
-    A scan has about one task per file or per ``maxPartitionBytes``, whichever gives more. Only when
-    that is below half of the cores are rows shuffled, so a large input is never moved.
+    A scan has a task for each ``spark.sql.files.maxPartitionBytes``. Callers with few bytes and much
+    work for each row ask for more with ``repartition``.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = estimated_bytes(df)
-    split_bytes = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    tasks = max(len(df.inputFiles()), size // split_bytes)
-    return df.repartition(cores) if tasks * 2 <= cores else df
-
-
-def read_table(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
-    """Scraped rows, pages or fetch logs kept as parquet."""
-    table = spark.read.parquet(path)
-    return spread_if_few(table) if spread else table
+    return spark.read.parquet(path)
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from songloom.operators.merge import choose_source, last_per_id, merge_sources
 from songloom.operators.shape import (
-    CATALOGUE_COLUMNS, complete_columns, export_ready, file_order, first_n, merge_order,
+    CATALOGUE_COLUMNS, complete_columns, export_ready, file_key, first_n, merge_key,
 )
 from songloom.operators.summary import distinct_films, run_counters, summarise
 from songloom.plans.catalogue import build_catalogue, load_songs
@@ -91,14 +91,14 @@ def test_source_choice(files, scraped):
 
 
 def test_orders_and_limit(files, scraped):
-    names = [r.source_file for r in first_n(files, 4, file_order()).collect()]
+    names = [r.source_file for r in first_n(files, 4, file_key()).collect()]
     assert names == ["0.isb.txt", "a.isb.txt", "b.isb.txt", "1.isb.txt"]
     merged = merge_sources(files, scraped)
-    assert {r.isb_id for r in first_n(merged, 2, merge_order(merged.columns)).collect()} == {None, 0}
-    assert first_n(files, 0, file_order()).count() == first_n(files, None, file_order()).count() == 6
+    assert {r.isb_id for r in first_n(merged, 2, merge_key(merged.columns)).collect()} == {None, 0}
+    assert first_n(files, 0, file_key()).count() == first_n(files, None, file_key()).count() == 6
     assert [r.isb_id for r in export_ready(merged).collect()] == [0, 1, 7, 9, None]
     with pytest.raises(ValueError):
-        first_n(files, -1, file_order())
+        first_n(files, -1, file_key())
 
 
 def test_column_contract(files):
@@ -140,5 +140,5 @@ def test_build_without_catalogues(spark, files, scraped):
     assert done.columns == list(CATALOGUE_COLUMNS)
     assert sorted(r.isb_id for r in done.collect()) == [1, 2]
     assert load_songs(files=raw, limit=1).first().isb_id == 2
-    with pytest.raises(ValueError):
-        build_catalogue(files=raw, films=files)
+    one = spark.createDataFrame([("9", "F", None, 0)], "cand_id string, cand_title string, cand_year int, rank int")
+    assert {r.imdb_film_id for r in build_catalogue(files=raw, films=one).collect()} == {"tt9", None}
