@@ -13,38 +13,38 @@ from songloom.llm.mixing import mixed_documents
 from songloom.llm.near_duplicates import keep_one_of_each
 from songloom.llm.packing import packed_documents
 from songloom.llm.quality_model import grades_of_labels, selected_documents
-from songloom.llm.queries import workers_find_package
+from songloom.llm.queries import prepare_session
 from songloom.plans.staging import stage
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that probably have less than the top grade."""
-    workers_find_package(spark)
+    prepare_session(spark)
     graded = grades_of_labels(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return selected_documents(docs, graded)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents in no language, or plainly in another than they say."""
-    workers_find_package(spark)
+    prepare_session(spark)
     return identified_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    workers_find_package(spark)
+    prepare_session(spark)
     return keep_one_of_each(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    workers_find_package(spark)
+    prepare_session(spark)
     return mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The places of all pieces in sequences of 1,024 tokens."""
-    workers_find_package(spark)
+    prepare_session(spark)
     return packed_documents(docs)
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+import ctypes
+from collections.abc import Callable, Iterator
+from contextlib import suppress
+from functools import reduce, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +74,27 @@ def _followed(parent: DataFrame) -> DataFrame:
     return parent.join(nxt, parent["p"] == nxt["_at"]).select("a", F.col("_up").alias("p"))
 
 
+def give_back_memory() -> None:
+    """Return freed memory to the system: idle Python workers keep it otherwise, next to the running ones."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # not glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(rows: Callable) -> Callable:
+    """A function on an iterator of batches that gives memory back after each batch and at its end."""
+
+    @wraps(rows)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows(batches):
+            yield batch
+            del batch
+            give_back_memory()
+        give_back_memory()
+
+    return run
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The groups of a stream of batches that is sorted by ``keys``, one table each."""
     held: list[pa.RecordBatch] = []

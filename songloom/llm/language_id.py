@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from songloom.llm.common import pick
+from songloom.llm.common import give_back_memory, lean, pick
 from songloom.llm.words import Words, mix, word_chunks
 from songloom.plans.staging import stage
 
@@ -78,6 +78,7 @@ def _merged(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndar
     return value, np.bincount(which, weights=np.concatenate(counts), minlength=len(value)).astype(np.int64)
 
 
+@lean
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, tuple[list, list]] = {}
     size = 0
@@ -191,6 +192,7 @@ def language_of(spark: SparkSession, model: LanguageModel | None) -> Callable[[C
             names += name.tolist()
             scores.append(score)
         parts = [pa.array(names, pa.string()), pa.array(np.concatenate(scores))]
+        give_back_memory()
         return pa.StructArray.from_arrays(parts, ["lang_pred", "score"])
 
     return predict

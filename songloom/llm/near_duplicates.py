@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from songloom.llm.common import components, pick, sorted_groups
+from songloom.llm.common import components, lean, pick, sorted_groups
 from songloom.llm.words import mix, shingle_sets, word_chunks
 from songloom.plans.staging import stage
 
@@ -69,6 +69,7 @@ def signature_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def _set_rows(width: int):
+    @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, words in word_chunks(batch["text"]):
@@ -85,6 +86,7 @@ def _set_rows(width: int):
 
 
 def _full_sets(width: int):
+    @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, words in word_chunks(batch["text"]):
@@ -100,6 +102,7 @@ def _bytes(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
+@lean
 def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
@@ -108,6 +111,7 @@ def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"doc": batch["doc"], "keys": lists})
 
 
+@lean
 def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
@@ -144,6 +148,7 @@ def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(block == first), np.flatnonzero(block == second)
 
 
+@lean
 def _cluster_joins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each block pair under one key: edges that join labels with a pair near enough."""
     for group in sorted_groups(batches, ["key", "i", "j"]):
@@ -160,6 +165,7 @@ def _cluster_joins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
 
 
+@lean
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each block pair of one cluster: links that hold on full sets, as few as connect as much."""
     for group in sorted_groups(batches, ["cluster", "i", "j"]):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from songloom.llm.common import numbered, pick
+from songloom.llm.common import lean, numbered, pick
 from songloom.llm.tokenizing import token_ids, tokenizer_path
 from songloom.plans.staging import stage
 
@@ -40,6 +40,7 @@ def cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:
 
 
 def _pieces(tokenizer: str, capacity: int, end_id: int):
+    @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, piece, start, length, crc = [], [], [], [], []

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from songloom.llm.common import pick
+from songloom.llm.common import give_back_memory, lean, pick
 from songloom.llm.quality_rules import repeated_words
 from songloom.llm.words import IS_SPACE, LOWER, Words, mix, word_chunks
 
@@ -185,6 +185,7 @@ def _minimum(loss: Callable, x: np.ndarray, steps: int, memory: int = 8) -> np.n
     return x
 
 
+@lean
 def _labelled_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, words in word_chunks(batch["text"]):
@@ -233,6 +234,7 @@ def quality_score(spark: SparkSession, model: OrdinalModel, grades: list[int]) -
             p.append(shared.value.probabilities(np.bincount(owner, weights=weights, minlength=len(words.begin))))
         p = np.concatenate(p)
         parts = [pa.array(p @ values), pa.array(p[:, -1].copy())]
+        give_back_memory()
         return pa.StructArray.from_arrays(parts, ["expected_grade", "tail_probability"])
 
     return score

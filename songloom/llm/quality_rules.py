@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from songloom.llm.common import pick
+from songloom.llm.common import lean, pick
 from songloom.llm.words import Words, mix, windows, word_chunks
 
 SYMBOLS = "#*$%&|<>"  # fixed by the rules
@@ -69,6 +69,7 @@ def repeated_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+@lean
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(BUCKETS, np.int64)
     for batch in batches:
@@ -97,6 +98,7 @@ def log_ratios(documents: DataFrame, trusted: DataFrame) -> np.ndarray:
 
 
 def _measures(ratios: np.ndarray):
+    @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, words in word_chunks(batch["text"]):

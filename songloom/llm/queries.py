@@ -26,17 +26,21 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def workers_find_package(spark: SparkSession) -> None:
-    """Let Python workers import this package where it is not installed but lies on a shared path."""
+BATCH_ROWS = "1000"  # texts are long: a batch of Spark's usual 10,000 takes far more memory than its work
+
+
+def prepare_session(spark: SparkSession) -> None:
+    """Let Python workers import this package from a shared path, and give them batches of texts they can hold."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        workers_find_package(spark)
+        prepare_session(spark)
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run
@@ -84,7 +88,7 @@ def op5_chat_formatting(spark, sf_dir):
     return format_digests(formatted_turns(given.union(spark.createDataFrame(made, given.schema))))
 
 
-# The template is "### role:", newline, text, newline, "</turn>", newline: 16 characters and the role.
+# The template is "### role:", newline, text, newline, "</turn>", newline: 15 characters and the role.
 ORACLES["op5_chat_formatting"] = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -94,7 +98,7 @@ said AS (
   SELECT conv_id, count(*) AS n_turns,
     sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
     coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS spoken,
-    sum(16 + length(role) + length(text) + len(regexp_extract_all(text, '###|</turn>')))::BIGINT AS formatted_chars
+    sum(15 + length(role) + length(text) + len(regexp_extract_all(text, '###|</turn>')))::BIGINT AS formatted_chars
   FROM turns GROUP BY conv_id)
 SELECT conv_id, n_turns, turns_sha256, length(spoken) AS loss_chars, sha256(spoken) AS loss_sha256, formatted_chars
 FROM said

@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from songloom.llm.common import pick
+from songloom.llm.common import lean, pick
 from songloom.llm.tokenizing import token_ids, tokenizer_path, tokenizer_version
 
 CACHE_SCHEMA = "digest binary, n_tokens long"
@@ -38,6 +38,7 @@ def read_cache(spark: SparkSession, cache: str, tokenizer: str) -> DataFrame:
 
 
 def _encode(tokenizer: str):
+    @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = [len(token_ids(tokenizer, value.as_py())) for value in batch["text"]]
