@@ -132,7 +132,8 @@ def quality_verdicts(
     ``trusted_ids`` has one column, the ids of documents to take as the target.
     """
     given = pick(documents, doc_id=id_col, text=text_col)
-    ids = trusted_ids.toDF("doc_id").filter("doc_id is not null")
+    # Merged at every size: whether the ids would fit a broadcast says nothing about larger tables.
+    ids = trusted_ids.toDF("doc_id").filter("doc_id is not null").hint("merge")
     ratios = log_ratios(given, given.join(ids, "doc_id", "left_semi"))
     schema = MEASURE_SCHEMA.format(id=given.schema["doc_id"].dataType.simpleString())
     measured = given.mapInArrow(_measures(ratios), schema)
