@@ -210,8 +210,9 @@ def near_duplicate_classes(
     given = pick(documents, doc=id_col, text=text_col).filter("doc is not null")
     given = given.select(F.col("doc").cast("long").alias("doc"), "text")
     raw = stage(given.mapInArrow(_set_rows(width), "doc long, n long, d1 long, d2 long, sig binary"))
-    chosen = raw.groupBy("doc").agg(F.max(F.struct("n", "d1", "d2", "sig")).alias("s")).select("doc", "s.*")
-    least = chosen.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep"))
+    chosen = stage(raw.groupBy("doc").agg(F.max(F.struct("n", "d1", "d2", "sig")).alias("s")).select("doc", "s.*"))
+    # Written, so that the join below has a shuffle of its own on this side and a hot set can be split.
+    least = stage(chosen.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep")))
     known = stage(chosen.join(least, ["n", "d1", "d2"], "left"))
     members = known.select("doc", "n", F.coalesce("rep", "doc").alias("rep"))
     reps = known.filter("doc = rep").select("doc", "n", "d1", "d2", "sig")
