@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from songloom.llm.common import lean, pick
 from songloom.llm.tokenizing import token_ids, tokenizer_path, tokenizer_version
+from songloom.plans.staging import stage
 
 CACHE_SCHEMA = "digest binary, n_tokens long"
 
@@ -62,6 +63,7 @@ def token_counts(
     counted = missing.mapInArrow(_encode(tokenizer), CACHE_SCHEMA)
     counted.write.mode("append").parquet(_version_folder(cache, tokenizer))
 
-    stored = read_cache(spark, cache, tokenizer)
+    # Written, so that the join has a shuffle of its own on this side and a hot digest can be split.
+    stored = stage(read_cache(spark, cache, tokenizer))
     sizes = given.select("doc_id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
     return sizes.join(stored, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
