@@ -17,7 +17,7 @@ happens to about 2 such pairs in 100,000, and missing every key to fewer than 1
 
 Null texts count as empty. Empty texts and texts without words are linked with nothing. Rows that
 repeat a document id count as one document, of which the row with the largest set stands for it;
-rows without an id are left out. Any number of copies and any length are handled alike.
+rows without an id are left out. Ids are whole numbers. Any number of copies and any length are handled alike.
 """
 
 from __future__ import annotations

@@ -122,7 +122,7 @@ def usable_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: st
 
 def _matrix(column) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy().reshape(len(column), -1)
+    return column.flatten().to_numpy().reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
 def best_of(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int):

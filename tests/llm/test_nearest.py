@@ -22,7 +22,7 @@ def table(spark):
     r = np.random.default_rng(4)
     centers = r.normal(size=(12, 16))
     vectors = (centers[r.integers(0, 12, 3000)] + 0.3 * r.normal(size=(3000, 16))).astype(np.float32)
-    vectors[1000:2000] = vectors[1000]  # a third of all rows are one vector
+    vectors[1000:2000] = 3 * vectors[1000]  # a third of all rows are one long vector
     rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
     bad = [
         (4000, None, 1), (4020, [0.0] * 16, 1), (4040, [float("nan")] + [1.0] * 15, 1), (4060, [None] + [1.0] * 15, 1),

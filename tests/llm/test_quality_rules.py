@@ -48,7 +48,7 @@ def corpus(spark):
 
 def test_measures_equal_plain_ones(spark, corpus):
     rows, frame = corpus
-    trusted = spark.createDataFrame([(i,) for i in range(400) if i % 4] + [(None,)], "doc_id long")
+    trusted = spark.createDataFrame([(i,) for i in range(400) if i % 4] + [(900,), (None,)], "doc_id long")
     got = quality_verdicts(frame, trusted).collect()
     found = Counter((g.doc_id, g.n_words, g.word_chars, g.n_symbols, g.n_dup_lines, g.n_repeat_words, g.base_failed) for g in got)
     assert found == Counter((i, *plain(t)) for i, t in rows)
