@@ -36,6 +36,7 @@ SHARE, RATIO = 1e-5, 8.0
 SLOTS, HASHES = 1 << 20, 3
 HELD_ENTRIES = 1 << 21  # counts that one training task holds before it sends them on
 UNKNOWN = "und"
+LEAST_SHARE = 0.1  # of a text in the language it says
 _LETTER = regex.compile(r"\p{L}")
 _FOLDED = np.full(256, 32, np.uint8)
 _FOLDED[65:91] = np.arange(97, 123)
@@ -173,17 +174,20 @@ def train(documents: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
 
 def language_of(spark: SparkSession, model: LanguageModel | None) -> Callable[[Column], Column]:
-    """A column function of texts: ``struct(lang_pred, score)``, from the text alone."""
+    """A column function of texts: ``struct(lang_pred, score, shares)``, from the text alone.
+
+    ``shares`` has the corrected share of each of the model's languages, whose largest is the score.
+    """
     shared = spark.sparkContext.broadcast(model) if model else None  # 8 MB for 64 languages
 
-    @F.arrow_udf("lang_pred string, score double")
+    @F.arrow_udf("lang_pred string, score double, shares array<double>")
     def predict(text: pa.Array) -> pa.Array:
         known = shared.value if shared is not None else None
-        names, scores = [], [np.zeros(0)]
+        names, scores, all_shares = [], [np.zeros(0)], []
         for row, words in word_chunks(text):
             n = len(words.begin)
             lettered = np.array([bool(t) and _LETTER.search(t) is not None for t in text.slice(row, n).to_pylist()])
-            name, score = np.full(n, UNKNOWN, object), np.zeros(n)
+            name, score, shares = np.full(n, UNKNOWN, object), np.zeros(n), np.zeros((n, 0))
             if known is not None:
                 shares = known.shares(*grams(words), n)
                 score = np.where(lettered, shares.max(axis=1), 0.0)
@@ -191,9 +195,10 @@ def language_of(spark: SparkSession, model: LanguageModel | None) -> Callable[[C
                 name[lettered & (score <= 0)] = known.most_trained
             names += name.tolist()
             scores.append(score)
-        parts = [pa.array(names, pa.string()), pa.array(np.concatenate(scores))]
+            all_shares += shares.tolist()
+        parts = [pa.array(names, pa.string()), pa.array(np.concatenate(scores)), pa.array(all_shares, pa.list_(pa.float64()))]
         give_back_memory()
-        return pa.StructArray.from_arrays(parts, ["lang_pred", "score"])
+        return pa.StructArray.from_arrays(parts, ["lang_pred", "score", "shares"])
 
     return predict
 
@@ -206,19 +211,24 @@ def identify_languages(
     language = language_of(documents.sparkSession, train(known, text_col, lang_col))
     given = pick(documents, doc_id=id_col, text=text_col)
     found = given.select("doc_id", (~in_training(F.col("doc_id"))).alias("held_out"), language(F.col("text")).alias("p"))
-    return found.select("doc_id", "held_out", "p.*")
+    return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
 def identified_documents(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
-    """The documents in a known language that is the one they say, if they say one, as they are.
+    """The documents that are in a known language and hold some of the one they say, as they are.
 
-    A text that shows nothing of any language (score 0) has the benefit of the doubt.
+    A text goes if it is ``und``, or if less than ``LEAST_SHARE`` of it is in the language it says. So a text
+    with a long quotation in another language stays, and so does one that shows nothing of any language
+    or says one that nothing was learned of.
     """
     known = documents.filter(in_training(F.col(f"`{id_col}`")))
-    language = language_of(documents.sparkSession, train(known, text_col, lang_col))
+    model = train(known, text_col, lang_col)
+    language = language_of(documents.sparkSession, model)
     found, said = F.col("_language"), F.col(f"`{lang_col}`")
-    agrees = said.isNull() | (said == found["lang_pred"]) | (found["score"] == 0)
+    place = F.array_position(F.array(*[F.lit(x) for x in model.languages]), said) if model else F.lit(None).cast("int")
+    share = F.get(found["shares"], place.cast("int") - 1)
+    foreign = F.coalesce((share < LEAST_SHARE) & (found["score"] > 0), F.lit(False))
     marked = documents.withColumn("_language", language(F.col(f"`{text_col}`")))
-    return marked.filter((found["lang_pred"] != UNKNOWN) & agrees).drop("_language")
+    return marked.filter((found["lang_pred"] != UNKNOWN) & ~foreign).drop("_language")

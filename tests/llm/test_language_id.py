@@ -68,10 +68,16 @@ def test_filters_hold_all_frequent_grams(corpus):
 
 def test_documents_kept(corpus):
     rows, frame = corpus
-    wrong = frame.withColumn("lang", F.when(F.col("doc_id") == 3, F.lit("zz")).otherwise(F.col("lang")))
+    other = next(lang for lang in SYLLABLES if lang != rows[3][2])
+    wrong = frame.withColumn("lang", F.when(F.col("doc_id") == 3, F.lit(other)).otherwise(F.col("lang")))
+    foreign = [r[1] for r in rows[:60] if r[2] != rows[4][2]]
+    mixed = [(3000, " ".join([rows[4][1]] * 3 + foreign[:5]), rows[4][2], 1.0)]
+    wrong = wrong.union(frame.sparkSession.createDataFrame(mixed, frame.schema))
     kept = identified_documents(wrong)
     assert kept.columns == frame.columns
-    assert sorted({r[0] for r in rows} - {k.doc_id for k in kept.collect()}, key=str) == sorted([3, 2000, 2001, 2002], key=str)
+    left = {k.doc_id for k in kept.collect()}
+    assert 3000 in left
+    assert sorted({r[0] for r in rows} - left, key=str) == sorted([3, 2000, 2001, 2002], key=str)
 
 
 def test_nothing_learned_and_empty(spark, corpus):
