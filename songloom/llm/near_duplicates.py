@@ -39,7 +39,7 @@ VALUES = CHUNKS * CHUNK
 GUARANTEED = CHUNKS * (ERRORS + 1) - 1  # any pair this near shares a key
 MAX_DISTANCE = 36
 PERCENT = 80  # least Jaccard similarity of a link
-BLOCK_ROWS, BLOCK_SHINGLES, KEY_BLOCK = 256, 300_000, 512
+BLOCK_ROWS, BLOCK_SHINGLES, KEY_BLOCK = 256, 300_000, 4096
 
 _random = np.random.default_rng(8)
 _FACTORS = (_random.integers(0, 1 << 31, VALUES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
