@@ -18,13 +18,14 @@ but no n-gram known get the language with most training text and score 0. The mo
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from songloom.llm.common import give_back_memory, lean, pick
@@ -36,7 +37,9 @@ SHARE, RATIO = 1e-5, 8.0
 SLOTS, HASHES = 1 << 20, 3
 HELD_ENTRIES = 1 << 21  # counts that one training task holds before it sends them on
 UNKNOWN = "und"
-LEAST_SHARE = 0.1  # of a text in the language it says
+LEAST_SHARE = 0.1  # of a text in the language it says, where nothing was learned of the pair
+BY_ITSELF = 0.99  # of the texts in a language show no more of another one than counts as shown by itself
+BINS = 1000  # of shares, when such quantiles are learned
 _LETTER = regex.compile(r"\p{L}")
 _FOLDED = np.full(256, 32, np.uint8)
 _FOLDED[65:91] = np.arange(97, 123)
@@ -214,21 +217,57 @@ def identify_languages(
     return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
+def shown_by_itself(
+    known: DataFrame, model: LanguageModel, language: Callable[[Column], Column], text_col: str, lang_col: str
+) -> np.ndarray:
+    """``least[p, l]``: a text found to be in language p that says l shows some of l from this share on.
+
+    Filters overlap, so texts in p show some of l by themselves. Of the rows that say p and are found to be in p,
+    ``BY_ITSELF`` show less of l than this. For languages too close to tell apart it is half of what is usual for
+    texts in l, and without such rows of p or l it is ``LEAST_SHARE``.
+    """
+    rows = pick(known, text=text_col, lang=lang_col).filter("lang is not null")
+    found = rows.select("lang", language(F.col("text")).alias("p")).filter("p.lang_pred = lang and p.score > 0")
+    each = found.select("lang", F.posexplode("p.shares").alias("l", "share"))
+    bins = each.groupBy("lang", "l", F.floor(F.col("share") * BINS).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    pair = Window.partitionBy("lang", "l")  # at most BINS + 1 rows
+    upto = F.sum("n").over(pair.orderBy("bin")) / F.sum("n").over(pair)
+    quantiles = bins.withColumn("upto", upto).groupBy("lang", "l").agg(
+        F.min(F.when(F.col("upto") >= BY_ITSELF, F.col("bin"))).alias("high"),
+        F.min(F.when(F.col("upto") >= 0.5, F.col("bin"))).alias("usual"),
+    )
+    n, number = len(model.languages), {lang: l for l, lang in enumerate(model.languages)}
+    high, usual = np.full((n, n), np.nan), np.full(n, np.nan)
+    for r in quantiles.collect():  # one row for each pair of languages
+        high[number[r["lang"]], r["l"]] = (r["high"] + 1) / BINS
+        if number[r["lang"]] == r["l"]:
+            usual[r["l"]] = r["usual"] / BINS
+    least = np.minimum(high, usual / 2)
+    least[np.isnan(least)] = LEAST_SHARE
+    np.fill_diagonal(least, 0.0)
+    return least
+
+
 def identified_documents(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
     """The documents that are in a known language and hold some of the one they say, as they are.
 
-    A text goes if it is ``und``, or if less than ``LEAST_SHARE`` of it is in the language it says. So a text
-    with a long quotation in another language stays, and so does one that shows nothing of any language
-    or says one that nothing was learned of.
+    A text goes if it is ``und``, or if it shows no more of the language it says than texts in the language
+    found show of that by themselves (``shown_by_itself``). So a text with long quotations in another language
+    stays, and so does one that shows nothing of any language or says one that nothing was learned of.
     """
     known = documents.filter(in_training(F.col(f"`{id_col}`")))
     model = train(known, text_col, lang_col)
     language = language_of(documents.sparkSession, model)
     found, said = F.col("_language"), F.col(f"`{lang_col}`")
-    place = F.array_position(F.array(*[F.lit(x) for x in model.languages]), said) if model else F.lit(None).cast("int")
-    share = F.get(found["shares"], place.cast("int") - 1)
-    foreign = F.coalesce((share < LEAST_SHARE) & (found["score"] > 0), F.lit(False))
+    foreign = F.lit(False)
+    if model:
+        names = F.array(*[F.lit(x) for x in model.languages])
+        least = shown_by_itself(known, model, language, text_col, lang_col)
+        limits = F.from_json(F.lit(json.dumps(least.ravel().tolist())), "array<double>")
+        place, at = [F.nullif(F.array_position(names, x), F.lit(0)).cast("int") - 1 for x in (said, found["lang_pred"])]
+        below = F.get(found["shares"], place) < F.get(limits, at * len(model.languages) + place)
+        foreign = F.coalesce(below & (found["score"] > 0), F.lit(False))
     marked = documents.withColumn("_language", language(F.col(f"`{text_col}`")))
     return marked.filter((found["lang_pred"] != UNKNOWN) & ~foreign).drop("_language")

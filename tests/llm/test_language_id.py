@@ -95,3 +95,31 @@ def test_more_than_64_languages(spark):
     got = identify_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
     said = {i: lang for i, _, lang in rows}
     assert np.mean([g.lang_pred == said[g.doc_id] for g in got]) > 0.95
+
+
+def test_swapped_labels_of_real_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rows = [r for r in docs.collect() if r.text and len(r.text) > 200]
+    languages = sorted({r.lang for r in rows})
+    tested = [r for r in rows if held_out(r.doc_id)]
+    made, wrong, quoting = [], set(), set()
+    for i, r in enumerate(tested):
+        others = [x for x in languages if x != r.lang]
+        made.append((4 * 10**6 + 4 * i + 2, r.text, others[i % 3]))
+        other = next(q for q in tested[i:] + tested if q.lang == others[i % 3])
+        half = min(len(r.text), 2000)
+        made.append((8 * 10**6 + i, r.text[:half] + "\n" + (other.text * 20)[: 2 * half], r.lang))
+        wrong.add(made[-2][0]), quoting.add(made[-1][0])
+    learned = [tuple(r) for r in rows if not held_out(r.doc_id)]
+    right = [(2 * 10**7 + i, r.text, r.lang) for i, r in enumerate(tested)]
+    # Those made are few against those learned from, so that wrong labels among them spoil nothing.
+    left = {k.doc_id for k in identified_documents(spark.createDataFrame(learned * 8 + made + right, docs.schema)).collect()}
+    assert len(wrong) > 150 and len(wrong & left) < 0.08 * len(wrong)
+    assert len(quoting & left) > 0.95 * len(quoting)
+    assert {i for i, _, _ in right} | {i for i, _, _ in learned} <= left
+
+
+def test_languages_too_close_to_tell_apart(spark, corpus):
+    rows = [(i, t, r) for i, t, lang, _ in corpus[0][:900] for r in [lang if lang != "aa" else "aa" + "xy"[i % 2]]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert identified_documents(frame).count() == len(rows)
