@@ -1,7 +1,8 @@
 """Quality rules: fixed limits on a text's form, then a log-likelihood ratio between two corpora.
 
 Hashed byte n-grams of all texts, and of the texts a caller trusts, give two multinomials over
-``BUCKETS`` buckets. A text's score is the mean over its n-grams of the log of their ratio, so that
+``BUCKETS`` buckets. The trusted one gets ``PRIOR`` counts more, dealt in proportion to all texts, so that
+few trusted texts move no ratio far, and none at all give every text score 0. A text's score is the mean over its n-grams of the log of their ratio, so that
 length drops out; below ``THRESHOLD`` the text reads unlike the trusted ones. The counts cover every
 text and grow with the corpus; only the table of ratios, whose size is fixed, passes the driver.
 
@@ -26,6 +27,7 @@ SYMBOLS = "#*$%&|<>"  # fixed by the rules
 LEAST_WORDS, MOST_REPEATED_PERCENT, WINDOW = 10, 20, 5  # fixed by the rules
 GRAM, BUCKETS = 4, 1 << 16
 THRESHOLD = -0.15
+PRIOR = 16 * BUCKETS  # n-grams of all texts that the trusted ones are filled up with
 _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[list(SYMBOLS.encode())] = True
 MEASURE_SCHEMA = (
@@ -85,18 +87,36 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     return rows.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def log_ratios(documents: DataFrame, trusted: DataFrame) -> np.ndarray:
-    """``log(trusted / raw)`` for each bucket, each multinomial with one count added everywhere."""
+def _both_counts(documents: DataFrame, trusted: DataFrame) -> np.ndarray:
+    """The counts of all texts and of the trusted ones, for each bucket."""
     raw = gram_counts(documents).select("bucket", "n", F.lit(0).cast("long").alias("t"))
     target = gram_counts(trusted).select("bucket", F.lit(0).cast("long").alias("n"), F.col("n").alias("t"))
-    counts = np.ones((2, BUCKETS))
+    counts = np.zeros((2, BUCKETS))
     both = raw.union(target).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     for bucket, n, t in both.collect():  # at most BUCKETS rows
-        counts[:, bucket] += (n, t)
+        counts[:, bucket] = (n, t)
+    return counts
+
+
+def log_ratios(documents: DataFrame, trusted: DataFrame) -> np.ndarray:
+    """``log(trusted / raw)`` for each bucket, each multinomial with one count added everywhere."""
+    counts = _both_counts(documents, trusted) + 1
     raw_share, target_share = counts / counts.sum(axis=1, keepdims=True)
     return np.log(target_share / raw_share).astype(np.float32)
 
 
+def smoothed_log_ratios(documents: DataFrame, trusted: DataFrame) -> np.ndarray:
+    """``log(trusted / raw)`` for each bucket, the trusted texts, part of all, filled up with ``PRIOR`` raw counts.
+
+    Without trusted texts all ratios are 0, and so are those of buckets that no text has.
+    """
+    raw, target = _both_counts(documents, trusted)
+    seen = raw > 0
+    ratios = np.zeros(BUCKETS)
+    ratios[seen] = np.log((target[seen] / raw[seen] * raw.sum() + PRIOR) / (target.sum() + PRIOR))
+    return ratios.astype(np.float32)
+
+
 def _measures(ratios: np.ndarray):
     @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +154,7 @@ def quality_verdicts(
     given = pick(documents, doc_id=id_col, text=text_col)
     # Merged at every size: whether the ids would fit a broadcast says nothing about larger tables.
     ids = trusted_ids.toDF("doc_id").filter("doc_id is not null").hint("merge")
-    ratios = log_ratios(given, given.join(ids, "doc_id", "left_semi"))
+    ratios = smoothed_log_ratios(given, given.join(ids, "doc_id", "left_semi"))
     schema = MEASURE_SCHEMA.format(id=given.schema["doc_id"].dataType.simpleString())
     measured = given.mapInArrow(_measures(ratios), schema)
     repeats = F.lit(100) * F.col("n_repeat_words") > F.lit(MOST_REPEATED_PERCENT) * F.col("n_words")

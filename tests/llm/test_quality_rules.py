@@ -76,3 +76,19 @@ def test_empty_table_and_no_trusted(spark, corpus):
     none = spark.createDataFrame([], "doc_id long")
     assert quality_verdicts(spark.createDataFrame([], "doc_id long, text string"), none).count() == 0
     assert quality_verdicts(corpus[1], none).count() == len(corpus[0])
+
+
+def test_verdicts_with_few_and_no_trusted(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").orderBy("doc_id").collect()
+    good = [r.doc_id for r in labels if r.quality == 1 and r.toxic == 0]
+    poor = {r.doc_id for r in labels if r.quality == 0}
+    for trusted in ([-5], good[:20], good[:100], good):
+        got = quality_verdicts(docs, spark.createDataFrame([(i,) for i in trusted], "doc_id long")).collect()
+        fine = [g for g in got if not g.base_failed]
+        clean = [g.kept for g in fine if g.doc_id in set(good)]
+        assert np.mean(clean) > 0.99, len(trusted)
+        if not set(trusted) & set(good):
+            assert all(g.score == 0 and g.kept != g.base_failed for g in got)
+    assert np.mean([g.kept for g in got if g.doc_id in poor]) < 0.2
