@@ -14,7 +14,8 @@ for targets that its caps exclude.
 Sources are metadata: their names, totals and multipliers are held by the driver, at most
 ``MAX_SOURCES`` of them. Null is a source of its own, the last one. Null and empty texts have size 0
 and are never taken. Ties and repeated rows: documents of one source and size are ordered by a hash of
-their id to decide which get a copy more.
+their id and whole row to decide which get a copy more. Only rows that are equal in all columns are one
+document, whatever ids are null or repeated.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from songloom.llm.common import numbered, pick, same
+from songloom.llm.common import CELL_ROWS, numbered, pick, same
 from songloom.plans.staging import stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -148,14 +149,28 @@ def _rounded(cap: float):
     return copies
 
 
+def _marked(documents: DataFrame) -> DataFrame:
+    """With 128 bits ``_d1`` and ``_d2`` that tell rows apart; hashes skip nulls, so where these are goes in as well."""
+    own = [F.col(f"`{c}`") for c in documents.columns]
+    whole = [*own, *[c.isNull() for c in own]]
+    return documents.select(*own, *[F.xxhash64(F.lit(d), *whole).alias(d) for d in ("_d1", "_d2")])
+
+
 def mixing_plan(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple[float, ...] = WEIGHTS, cap: int = CAP,
 ) -> DataFrame:
     """``(doc_id, source, size, source_size, target, rate, copies, taken)`` for every row."""
-    given = pick(documents, doc_id=id_col, text=text_col, source=source_col)
+    return _marked_plan(documents, id_col, text_col, source_col, weights, cap).drop("_d1", "_d2")
+
+
+def _marked_plan(
+    documents: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP
+) -> DataFrame:
+    """``mixing_plan`` with the digest of each row."""
+    given = pick(_marked(documents), doc_id=id_col, text=text_col, source=source_col, _d1="_d1", _d2="_d2")
     source = F.col("source").cast("string").alias("source")
-    rows = stage(given.select("doc_id", source, word_count(F.col("text")).alias("size")))
+    rows = stage(given.select("doc_id", source, word_count(F.col("text")).alias("size"), "_d1", "_d2"))
     histogram = stage(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     found = solve_multipliers(histogram, weights, cap)
     rated = _with_rates(histogram.filter("size > 0"), found, cap)
@@ -167,20 +182,21 @@ def mixing_plan(
     joined = rows.alias("l").join(decided.alias("r"), same("l", "r", ["source", "size"]))
     joined = joined.select("l.*", "n", "rate", "copies")
     taking = joined.filter("copies > 0")
-    order = ["_mixed", "doc_id"]
+    order = ["_mixed", "doc_id", "_d1", "_d2"]
     ranked = numbered(
-        taking.withColumn("_mixed", F.xxhash64(F.lit("mixing"), "doc_id")), ["source", "size"], order, "n", "_rank"
+        taking.withColumn("_mixed", F.xxhash64(F.lit("mixing"), "doc_id", "_d1")), ["source", "size"], order, "n", "_rank"
     )
     more = (F.col("_rank") < F.col("copies") % F.col("n")).cast("long")
     several = ranked.select(
-        "doc_id", "source", "size", "rate", (F.floor(F.col("copies") / F.col("n")) + more).alias("copies")
+        "doc_id", "source", "size", "_d1", "_d2", "rate", (F.floor(F.col("copies") / F.col("n")) + more).alias("copies")
     )
-    none = joined.filter("copies = 0").select("doc_id", "source", "size", "rate", F.lit(0).cast("long").alias("copies"))
+    none = joined.filter("copies = 0").select("doc_id", "source", "size", "_d1", "_d2", "rate", F.lit(0).cast("long").alias("copies"))
     known = [(n, int(s), float(t)) for n, s, t in zip(found.names, found.tokens, found.target)]
     totals = documents.sparkSession.createDataFrame(known, "source string, source_size long, target double")
     both = several.union(none).alias("l").join(totals.alias("r"), same("l", "r", ["source"]))
     return both.select(
-        "l.doc_id", "l.source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        "l.doc_id", "l.source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"),
+        "_d1", "_d2",
     )
 
 
@@ -188,17 +204,20 @@ def mixed_documents(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
 ) -> DataFrame:
     """The documents themselves, each as often as the mix takes it."""
-    plan = mixing_plan(documents, id_col, text_col, source_col, **options)
-    keys = plan.groupBy("doc_id", "source", "size").agg(F.sum("copies").cast("int").alias("_copies"))
-    keys = keys.filter("_copies > 0").select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", "source", "size")], "_copies")
-    sized = documents.withColumn("_words", word_count(F.col(f"`{text_col}`")))
-    at = (
-        sized[id_col].eqNullSafe(keys["_doc_id"]) & (sized["_words"] == keys["_size"])
-        & sized[source_col].cast("string").eqNullSafe(keys["_source"])
-    )
-    joined = sized.join(keys, at)
-    # Rows that repeat id, source and size are one document: its first row stands for all its copies.
-    own = Window.partitionBy("_doc_id", "_size", "_source").orderBy(F.xxhash64(F.col(f"`{text_col}`")))
-    first = joined.withColumn("_row", F.row_number().over(own)).filter("_row = 1")
-    repeated = first.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in documents.columns])
+    plan = _marked_plan(documents, id_col, text_col, source_col, **options)
+    rows, copies = F.count(F.lit(1)), F.sum("copies")
+    keys = plan.groupBy("_d1", "_d2").agg(F.floor(copies / rows).cast("int").alias("_each"), (copies % rows).alias("_more"))
+    keys = stage(keys.filter("_each > 0 or _more > 0"))
+    own, marked = [F.col(f"`{c}`") for c in documents.columns], _marked(documents)
+    # Nearly always a row stands alone and all its copies are in _each.
+    each = marked.join(keys.filter("_each > 0").select("_d1", "_d2", "_each"), ["_d1", "_d2"])
+    mixed = each.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_each")))).select(*own)
+    some = keys.filter("_more > 0").select("_d1", "_d2", "_more")
+    if some.isEmpty():
+        return mixed
+    # Of equal rows some get one copy more: one of the rows gives them, dealt over several tasks.
+    one = marked.join(some, ["_d1", "_d2"]).dropDuplicates(["_d1", "_d2"])
+    parts = one.withColumn("_part", F.explode(F.sequence(F.lit(0), F.floor((F.col("_more") - 1) / CELL_ROWS))))
+    number = F.least(F.lit(CELL_ROWS), F.col("_more") - F.col("_part") * CELL_ROWS)
+    dealt = parts.repartition("_d1", "_d2", "_part")
+    return mixed.unionAll(dealt.withColumn("_copy", F.explode(F.sequence(F.lit(1), number.cast("int")))).select(*own))

@@ -1,7 +1,7 @@
 """Mixing: targets by hand, rates against a plain solver, copies against their bounds."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -75,3 +75,22 @@ def test_documents_are_repeated(corpus):
 
 def test_empty_table(spark):
     assert mixing_plan(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
+
+
+def test_rows_are_told_apart_by_all_they_hold(spark):
+    rows = [(None, f"null {i} words here", "a") for i in range(3000)] + [(7, f"same id {i} here", "a") for i in range(400)]
+    rows += [(i, "five words are in this", "b") for i in range(50)] + [(None, "equal rows of this one", "c")] * 2501
+    frame = spark.createDataFrame([(i, t, s, None) for i, t, s in rows], "doc_id long, text string, source string, extra string")
+    plan, mixed = mixing_plan(frame).collect(), mixed_documents(frame)
+    assert len(plan) == len(rows) and mixed.columns == frame.columns
+    found = Counter((m.doc_id, m.text) for m in mixed.collect())
+    due = defaultdict(int)
+    for p in plan:
+        due[p.source] += p.copies
+    assert {s: sum(n for (_, t), n in found.items() if len(t.split()) == size and t.startswith(w)) for s, size, w in (("b", 5, "five"), ("c", 5, "equal"))} == {s: due[s] for s in "bc"}
+    of_a = [n for (i, t), n in found.items() if t.startswith(("null", "same"))]
+    assert sum(of_a) == due["a"] and max(of_a) <= 3 and len(of_a) >= min(due["a"], 3400)
+    copies = Counter((p.doc_id, p.copies) for p in plan if p.source == "a")
+    assert copies == Counter((i, n) for (i, t), n in found.items() if t.startswith(("null", "same"))) + Counter(
+        {k: n for k, n in copies.items() if k[1] == 0}
+    )
