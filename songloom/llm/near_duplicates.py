@@ -16,8 +16,8 @@ At similarity 0.8 a pair differs in 19 of 96 values on average; more than ``MAX_
 happens to about 2 such pairs in 100,000, and missing every key to fewer than 1 in 10,000,000.
 
 Null texts count as empty. Empty texts and texts without words are linked with nothing. Rows that
-repeat a document id count as one document, of which the row with the largest set stands for it;
-rows without an id are left out. Ids are whole numbers. Any number of copies and any length are handled alike.
+repeat a document id count as one document, of which the row with the largest set stands for it,
+here as in the documents kept; rows without an id are left out. Ids are whole numbers. Any number of copies and any length are handled alike.
 """
 
 from __future__ import annotations
@@ -76,6 +76,7 @@ def _set_rows(width: int):
                 sets = shingle_sets(words, width)
                 yield pa.RecordBatch.from_pydict({
                     "doc": batch["doc"].slice(row, len(sets)),
+                    "digest": batch["digest"].slice(row, len(sets)),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "d1": pa.array(np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)),
                     "d2": pa.array(np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)),
@@ -88,7 +89,14 @@ def _set_rows(width: int):
 def _full_sets(width: int):
     @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # repeated ids whose text came by: its other rows are equal and add nothing
         for batch in batches:
+            fresh = []
+            for doc, copies in zip(batch["doc"].to_pylist(), batch["copies"].to_pylist()):
+                fresh.append(copies == 1 or doc not in seen)
+                if copies > 1:
+                    seen.add(doc)
+            batch = batch.filter(pa.array(fresh, pa.bool_()))
             for row, words in word_chunks(batch["text"]):
                 sets = shingle_sets(words, width)
                 kept = {c: batch[c].slice(row, len(sets)) for c in ("doc", "cluster", "blocks", "block", "sig")}
@@ -207,22 +215,28 @@ def near_duplicate_classes(
     ``component_id`` is the least id reachable over links of similarity 0.8 or more between sets of
     ``width``-word shingles; the document with that id is the one kept.
     """
+    return _classes(documents, id_col, text_col, width).drop("digest")
+
+
+def _classes(documents: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """The classes with a digest of the text that stands for each id."""
     given = pick(documents, doc=id_col, text=text_col).filter("doc is not null")
-    given = given.select(F.col("doc").cast("long").alias("doc"), "text")
-    raw = stage(given.mapInArrow(_set_rows(width), "doc long, n long, d1 long, d2 long, sig binary"))
-    chosen = stage(raw.groupBy("doc").agg(F.max(F.struct("n", "d1", "d2", "sig")).alias("s")).select("doc", "s.*"))
+    given = given.select(F.col("doc").cast("long").alias("doc"), "text", F.xxhash64("text").alias("digest"))
+    raw = stage(given.mapInArrow(_set_rows(width), "doc long, digest long, n long, d1 long, d2 long, sig binary"))
+    largest = F.max(F.struct("n", "d1", "d2", "sig", "digest")).alias("s")
+    chosen = stage(raw.groupBy("doc").agg(largest, F.count(F.lit(1)).alias("copies")).select("doc", "s.*", "copies"))
     # Written, so that the join below has a shuffle of its own on this side and a hot set can be split.
     least = stage(chosen.filter("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep")))
     known = stage(chosen.join(least, ["n", "d1", "d2"], "left"))
-    members = known.select("doc", "n", F.coalesce("rep", "doc").alias("rep"))
-    reps = known.filter("doc = rep").select("doc", "n", "d1", "d2", "sig")
+    members = known.select("doc", "n", "digest", F.coalesce("rep", "doc").alias("rep"))
+    reps = known.filter("doc = rep").select("doc", "n", "d1", "d2", "sig", "digest", "copies")
 
     label = components(_links(given, reps, width))
     final = members.join(label, members["rep"] == label["node"], "left")
     component = F.coalesce("label", "rep")
     return final.select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        (F.col("doc") == component).alias("kept"),
+        (F.col("doc") == component).alias("kept"), "digest",
     )
 
 
@@ -233,7 +247,7 @@ def _links(given: DataFrame, reps: DataFrame, width: int) -> DataFrame:
     placed = reps.join(clusters, "doc")
     blocks = placed.groupBy("cluster").agg(F.ceil(size).cast("int").alias("blocks"))
     wanted = placed.join(blocks, "cluster").withColumn("block", F.pmod(F.hash("doc"), F.col("blocks")))
-    texts = given.join(wanted, "doc").select("doc", "text", "cluster", "blocks", "block", "sig")
+    texts = given.join(wanted, ["doc", "digest"]).select("doc", "text", "copies", "cluster", "blocks", "block", "sig")
     schema = "doc long, cluster long, blocks int, block int, sig binary, shingles binary"
     met = _block_pairs(texts.mapInArrow(_full_sets(width), schema))
     dealt = met.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
@@ -274,12 +288,14 @@ def _candidate_clusters(reps: DataFrame) -> DataFrame:
 def keep_one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
     """The documents without near duplicates: of each class the one with the least id.
 
-    Rows without an id stay. Of rows that repeat an id one stays.
+    Rows without an id stay. Of rows that repeat an id one stays, with the text that stood for it.
     """
-    classes = near_duplicate_classes(documents, id_col, text_col, width).filter("kept")
+    classes = _classes(documents, id_col, text_col, width).filter("kept")
     named = documents.filter(F.col(f"`{id_col}`").isNotNull())
-    kept = classes.select(F.col("doc_id").alias("_kept"))
-    own = Window.partitionBy(F.col(f"`{id_col}`")).orderBy(F.col(f"`{id_col}`"))
-    joined = named.join(kept, named[id_col].cast("long") == kept["_kept"], "left_semi")
+    kept = classes.select(F.col("doc_id").alias("_kept"), F.col("digest").alias("_digest"))
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns])
+    own = Window.partitionBy(F.col(f"`{id_col}`")).orderBy(whole)
+    at = (F.col(f"`{id_col}`").cast("long") == F.col("_kept")) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("_digest"))
+    joined = named.join(kept, at, "left_semi")
     one = joined.withColumn("_copy", F.row_number().over(own)).filter("_copy = 1").drop("_copy")
     return one.unionByName(documents.filter(F.col(f"`{id_col}`").isNull()))

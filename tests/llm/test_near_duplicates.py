@@ -80,3 +80,14 @@ def test_empty_null_and_repeated_ids(spark):
     assert got == [(1, 1, True), (2, 1, False), (3, 3, True)]
     kept = sorted(keep_one_of_each(frame).collect(), key=str)
     assert [r.doc_id for r in kept] == [1, 3, None]
+
+
+def test_an_id_with_several_texts(spark):
+    long = " ".join(f"w{k}" for k in range(80))
+    near, small = long + " more", " ".join(f"v{k}" for k in range(40))
+    rows = [(1, None), (1, ""), (1, small), (1, long), (1, long), (1, " \n"), (2, near), (2, None), (3, small), (4, small + " x"), (4, "")]
+    for some in (rows, rows[::-1]):
+        frame = spark.createDataFrame(some, "doc_id long, text string").repartition(3)
+        got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicate_classes(frame).collect())
+        assert got == [(1, 76, 1), (2, 77, 1), (3, 36, 3), (4, 37, 3)]
+        assert sorted(tuple(r) for r in keep_one_of_each(frame).collect()) == [(1, long), (3, small)]
