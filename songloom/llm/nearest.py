@@ -5,7 +5,8 @@ vector is then put into its leaf. A query walks the tree best bin first: a prior
 nodes seen, keyed by the most that an inner product with anything below can be, and leaves are visited
 in the order in which they come off the queue. How many leaves are visited is calibrated: for at most
 ``CALIBRATION_ROWS`` queries the true neighbours are found by brute force over all vectors, and the
-number is the least for which they miss no more than ``1 - RECALL`` of them.
+number is the least for which they miss no more than ``1 - RECALL`` of them. A query whose leaves hold
+too few vectors visits more, until it has its number of neighbours or all candidates.
 
 A leaf is searched in blocks of vectors and of queries, however many either holds, by matrix products
 in double precision; near the cut-off scores are made again one by one in a fixed order, so equal vectors
@@ -51,14 +52,15 @@ class Tree:
     root: Node
     leaves: list[np.ndarray]
 
-    def leaf_order(self, query: np.ndarray, most: int) -> list[int]:
-        """The first leaves of a best-bin-first walk."""
-        found, tick, norm = [], 0, float(np.sqrt(query @ query))
+    def leaf_order(self, query: np.ndarray, most: int, sizes: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """The first leaves of a best-bin-first walk; more than ``most`` until they hold ``least`` vectors."""
+        held, found, tick, norm = 0, [], 0, float(np.sqrt(query @ query))
         queue = [(0.0, tick, self.root)]
-        while queue and len(found) < most:
+        while queue and (len(found) < most or held < least):
             _, _, node = heapq.heappop(queue)
             if node.leaf >= 0:
                 found.append(node.leaf)
+                held += int(sizes[node.leaf]) if sizes is not None else 0
             for child in node.children:
                 tick += 1
                 heapq.heappush(queue, (-(query @ child.center) - norm * child.radius, tick, child))
@@ -150,10 +152,10 @@ def _leaf_rows(tree: Tree):
     return rows
 
 
-def _visit_rows(tree: Tree, visits: int):
+def _visit_rows(tree: Tree, visits: int, sizes: np.ndarray, least: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            orders = [tree.leaf_order(q, visits) for q in _matrix(batch["vector"])] if batch.num_rows else []
+            orders = [tree.leaf_order(q, visits, sizes, least) for q in _matrix(batch["vector"])] if batch.num_rows else []
             leaves = pa.array(orders, pa.list_(pa.int32()))
             yield batch.append_column("leaves", leaves)
 
@@ -234,7 +236,11 @@ def nearest_neighbours(
     tree = fit_tree(sample)
     indexed = stage(usable.mapInArrow(_leaf_rows(tree), ROW_SCHEMA + ", leaf int"))
     visits = calibrated_visits(tree, indexed, asked, k, recall)
-    visiting = asked.mapInArrow(_visit_rows(tree, visits), ROW_SCHEMA + ", leaves array<int>")
+    held = np.zeros(len(tree.leaves), np.int64)
+    for r in indexed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect():  # at most FIT_ROWS leaves
+        held[r["leaf"]] = r["n"]
+    # One more than k, since a query's own id is among them.
+    visiting = asked.mapInArrow(_visit_rows(tree, visits, held, k + 1), ROW_SCHEMA + ", leaves array<int>")
     visiting = stage(visiting.select("vec_id", "vector", F.explode("leaves").alias("leaf")))
 
     def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:

@@ -78,3 +78,15 @@ def test_every_vector_has_a_leaf_and_walks_reach_all():
 
 def test_usable(table):
     assert usable_vectors(table[2]).count() == 3000
+
+
+def test_outliers_beside_large_groups(spark):
+    r = np.random.default_rng(6)
+    centers = 10 * np.eye(16)
+    vectors = (centers[r.integers(0, 8, 4000)] + 1e-3 * r.normal(size=(4000, 16))).tolist()
+    vectors += (centers[[9, 9, 9, 12, 12]] * 40 + r.normal(size=(5, 16))).tolist()
+    frame = spark.createDataFrame([(i, v, 1) for i, v in enumerate(vectors)], SCHEMA)
+    got = defaultdict(int)
+    for g in nearest_neighbours(frame, frame.filter("vec_id % 20 = 0 or vec_id >= 4000")).collect():
+        got[g.query_id] += 1
+    assert len(got) == 205 and set(got.values()) == {20}
