@@ -21,12 +21,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from songloom.llm.common import give_back_memory, lean, pick
 from songloom.llm.quality_rules import repeated_words
 from songloom.llm.words import IS_SPACE, LOWER, Words, mix, word_chunks
+from songloom.plans.staging import stage
 
 FEATURES = 1 << 22
 MAX_LABELLED = 12_000
@@ -193,19 +194,30 @@ def _labelled_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             offsets = np.searchsorted(owner, np.arange(len(words.begin) + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(offsets, feature)
             grade = batch["grade"].slice(row, len(words.begin))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"].slice(row, len(grade)), "grade": grade, "features": lists})
+            same = {c: batch[c].slice(row, len(grade)) for c in ("doc_id", "digest")}
+            yield pa.RecordBatch.from_pydict(same | {"grade": grade, "features": lists})
 
 
 def train(
     documents: DataFrame, graded: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED
 ) -> tuple[OrdinalModel | None, list[int]]:
-    """A model and the sorted grades from ``graded``: ``(doc_id, grade)``."""
+    """A model and the sorted grades from ``graded``: ``(doc_id, grade)``.
+
+    Fitted are at most ``max_labelled`` different texts with a grade. Where labelled ids repeat with several
+    texts, each id and grade gives its first text before any gives its second.
+    """
     some = graded.toDF("doc_id", "grade").dropna().orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(max_labelled)
-    texts = pick(documents, doc_id=id_col, text=text_col).join(F.broadcast(some), "doc_id")  # at most max_labelled rows
-    kind = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, grade int, features array<int>"
-    chosen = texts.select("doc_id", F.col("grade").cast("int").alias("grade"), "text").mapInArrow(_labelled_rows, kind)
+    some = some.withColumn("grade", F.col("grade").cast("int")).distinct()
+    given = pick(documents, doc_id=id_col, text=text_col).withColumn("digest", F.xxhash64("text"))
+    labelled = given.select("doc_id", "digest").join(F.broadcast(some), "doc_id").distinct()  # at most max_labelled labels
+    turn = F.row_number().over(Window.partitionBy("doc_id", "grade").orderBy("digest"))
+    first = labelled.withColumn("turn", turn).filter(F.col("turn") <= max_labelled)
+    wanted = stage(first.orderBy("turn", F.xxhash64("doc_id"), "doc_id", "grade").limit(max_labelled).drop("turn"))
+    texts = given.join(F.broadcast(wanted), ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest", "grade"])
+    kind = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, digest long, grade int, features array<int>"
+    chosen = texts.select("doc_id", "digest", "grade", "text").mapInArrow(_labelled_rows, kind)
     got = chosen.toArrow().combine_chunks()
-    order = np.lexsort((got["grade"].to_numpy(), got["doc_id"].to_numpy()))  # sums in one order: reruns agree
+    order = np.lexsort((got["digest"].to_numpy(), got["grade"].to_numpy(), got["doc_id"].to_numpy()))  # sums in one order: reruns agree
     got = got.take(pa.array(order)).combine_chunks()
     grades, grade = np.unique(got["grade"].to_numpy(), return_inverse=True)
     if len(grades) < 2:

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from songloom.llm import quality_model
 from songloom.llm.quality_model import (
     OrdinalModel, fit_ordinal, graded_quality, grades_of_labels, selected_documents,
 )
@@ -73,3 +74,15 @@ def test_nothing_to_learn_from(spark, corpus):
     assert selected_documents(docs, none).count() == docs.count()
     empty = spark.createDataFrame([], docs.schema)
     assert graded_quality(empty, grades_of_labels(corpus[1])).count() == 0
+
+
+def test_repeated_ids_keep_the_bound(spark, corpus, monkeypatch):
+    docs = corpus[0].select("doc_id", "text").filter("doc_id < 20")
+    hot = spark.createDataFrame([(3, f"other text {i % 60} of one id") for i in range(900)], docs.schema)
+    graded = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, grade int")
+    fitted = []
+    monkeypatch.setattr(quality_model, "fit_ordinal", lambda owner, feature, grade, n: fitted.append(grade))
+    quality_model.train(docs.union(hot), graded, max_labelled=30)
+    assert np.bincount(fitted[0]).tolist() == [10, 20]  # all 20 labels, and ten more texts of the hot one
+    quality_model.train(docs.union(hot), graded)
+    assert len(fitted[1]) == 80
