@@ -1,0 +1,144 @@
+"""Repairs against a plain search over all edits, row by row."""
+
+import hashlib
+import random
+import zlib
+from functools import lru_cache
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from songloom.llm import conversation_repair as cr
+from songloom.llm.conversation_repair import conversation_repairs, damaged, repaired_turns, turns_of
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def cheapest(rows):
+    """``(cost, audit, kept turns)`` of rows ``(role, text, fault)``: every edit tried at every place."""
+
+    @lru_cache(maxsize=None)
+    def best(i, written, inserted):
+        found = [(0, "", ())] if i == len(rows) and written in ("", "a") else []
+        role = "assistant" if written == "u" else "user"
+        if inserted < 2:
+            cost, audit, kept = best(i, role[0], inserted + 1)
+            found.append((cost + 2, "I" + audit, ((role, ""), *kept)))
+        if i < len(rows):
+            given, text, fault = rows[i]
+            cost, audit, kept = best(i + 1, written, 0)
+            found.append((cost + 3, "D" + audit, kept))
+            if fault not in ("blank", "duplicate"):
+                extra = fault == "truncated"
+                cost, audit, kept = best(i + 1, role[0], 0)
+                found.append((cost + 2 + extra, "R" + audit, ((role, text), *kept)))
+                if (written or "^") + given[:1] in ("^s", "^u", "su", "ua", "au"):
+                    cost, audit, kept = best(i + 1, given[:1], 0)
+                    found.append((cost + extra, "K" + audit, ((given, text), *kept)))
+        return min(found, key=lambda f: f[:2]) if found else (10**9, "", ())
+
+    for i in range(len(rows), 0, -50):  # from the end, so that no call goes deep
+        for written in ("", "s", "u", "a"):
+            best(i, written, 0)
+    return best(0, "", 0)
+
+
+def plain(rows):
+    """The expected row of one conversation's rows ``(turn, role, text)`` after damage."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    seen, marked = set(), []
+    for _, role, text in rows:
+        bare = text.rstrip(WHITE)
+        fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else ""
+        seen.add((role, text))
+        marked.append((role, text, fault))
+    turns = {t for t, _, _ in rows if t is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    initials = [r[:1] for r, _, _ in marked]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    cost, audit, kept = cheapest(marked)
+    said = "\n".join(f"{r}:{t}" for r, t in kept)
+    faults = [sum(f == name for *_, f in marked) for name in ("blank", "duplicate", "truncated")]
+    return (gaps, *faults, illegal, cost, audit, hashlib.sha256(said.encode()).hexdigest())
+
+
+def damage(rows):
+    out = {}
+    for conv, turn, role, text in rows:
+        name = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(name.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if kind == 1 else "".join(c for c in text if c not in ".!?") if kind == 2 else text
+        row = (turn, "user" if kind == 4 else role, text)
+        out.setdefault(conv, []).extend([row] * {0: 0, 3: 2}.get(kind, 1))
+    return out
+
+
+def made(r, conversations, longest):
+    texts = ["Yes.", "no", "Why? \n", "", " \t", "a\x1c", "ü!", "x.y", None]
+    roles, weights = ["user", "assistant", "system", "tool", "", "User", None], [9, 9, 3, 1, 1, 1, 1]
+    rows = []
+    for conv in range(conversations):
+        for turn in range(r.randint(1, longest)):
+            turn = r.choice([turn, turn, turn, turn * 3, None, 1])
+            rows.append((conv or None, turn, r.choices(roles, weights)[0], r.choice(texts) if r.random() < 0.5 else f"Text {r.random()}."))
+    return rows
+
+
+@pytest.mark.parametrize("bits", [1, 12])
+def test_conversations(spark, monkeypatch, bits):
+    monkeypatch.setattr(cr, "CELL_BITS", bits)
+    rows = made(random.Random(11), 150, 12)
+    rows += [(-1, 0, "user", "Hot.")] * 50 + [(-2, t, "user", "Same.") for t in range(40)] + rows[:30]
+    frame = spark.createDataFrame([(*row, "x", 1) for row in rows], SCHEMA + ", audit string, place int").repartition(5)
+    given = turns_of(frame)
+    got = {g.conv_id: tuple(g)[1:] for g in conversation_repairs(damaged(given), given).collect()}
+    after = damage(rows)
+    assert got == {conv: plain(after.get(conv, [])) for conv in {r[0] for r in rows}}
+
+
+def test_one_long_conversation(spark, monkeypatch):
+    monkeypatch.setattr(cr, "CELL_BITS", 6)
+    r = random.Random(12)
+    rows = [(7, t, r.choice(["user", "assistant"]), r.choice(["", "Yes.", "no", f"{t}."])) for t in range(200)]
+    rows += [(7, 200 + t, "user" if t % 2 else "assistant", f"{t}!") for t in range(150)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    given = turns_of(frame)
+    got = conversation_repairs(damaged(given), given).collect()
+    assert len(got) == 1 and tuple(got[0])[1:] == plain(damage(rows)[7])
+    placed = cr.placed_turns(damaged(given))
+    assert placed.select("cell").distinct().count() > 4
+    edits = repaired_turns(placed, cr.cell_choices(placed)).collect()
+    assert sum(e.times for e in edits if e.edit != "I") == len(damage(rows)[7])
+    assert {e.text for e in edits if e.edit == "I"} <= {""}
+
+
+def test_empty_and_dropped(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert conversation_repairs(damaged(empty), empty).count() == 0
+    turn = next(t for t in range(1000) if zlib.crc32(f"1:{t}".encode()) % 20 == 0)
+    one = spark.createDataFrame([(1, turn, "user", "Hi.")], SCHEMA)
+    got = conversation_repairs(damaged(one), one).collect()
+    assert [tuple(g) for g in got] == [(1, 0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())]
+
+
+@given(st.lists(st.tuples(st.integers(0, 8), st.integers(1, 9)), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_runs_equal_single_rows(runs):
+    names = {0: ("x", "blank")} | {1 + 2 * k + t: (role, "truncated" if t else "") for k, role in enumerate("suax") for t in (0, 1)}
+    rows = [(names[s][0], "t", names[s][1]) for s, n in runs for _ in range(n)]
+    cost, audit, _ = cheapest(rows)
+    to_come = cr.LAST
+    for symbol, length in reversed(runs):
+        to_come = cr.crossed(symbol, length, to_come)
+    assert to_come[cr.START] == cost
+    letters, state = cr.unrolled(cr.collapsed(np.array([s for s, _ in runs], int), np.array([n for _, n in runs], int)), cr.START, cr.LAST)
+    assert letters + cr.closing(state)[0] == audit
+
+
+def test_a_run_of_a_billion_rows():
+    assert cr.crossed(cr.DEAD, 10**9, cr.LAST)[cr.START] == 3 * 10**9
+    assert cr.unrolled([(cr.DEAD, 10**6)], cr.START, cr.LAST) == ("D" * 10**6, cr.START)
