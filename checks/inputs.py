@@ -187,9 +187,12 @@ SELECT n_name AS name, CASE WHEN n_nationkey % 3 > 0 THEN 'nm' || CAST(n_nationk
 FROM @nation
 """
 
-# Every supplier's name behind a word, as asked and as listed.
+# Every supplier's name behind some words, as asked and as listed: all are alike. Some match the name with
+# their own number, some are as near to several others, some reach none.
 LOOK_ALIKES = """
-SELECT 'Maestro ' || s_name AS asked, 'Ustad ' || s_name AS listed, CAST(s_suppkey AS STRING) AS cand_id, s_suppkey AS rank
+SELECT CASE s_suppkey % 3 WHEN 0 THEN 'Maestro ' ELSE 'Ustaad ji ' END || s_name AS asked,
+       CASE s_suppkey % 5 WHEN 0 THEN 'Swami ' ELSE 'Ustad ' END || s_name AS listed,
+       CAST(s_suppkey AS STRING) AS cand_id, s_suppkey AS rank
 FROM @supplier
 """
 

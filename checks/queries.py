@@ -458,7 +458,7 @@ def attach_ids(spark, sf):
 
 @query
 def resolve_look_alikes(spark, sf):
-    """Supplier names behind a word, looked up among the same names behind another: all are alike."""
+    """Supplier names behind some words, looked up among the same names behind others: all are alike."""
     names = I.derive(spark, sf, I.LOOK_ALIKES)
     lookups = names.select(F.col("asked").alias("lookup_key"), F.col("asked").alias("query"), F.lit(None).cast("int").alias("year"))
     people = names.select("cand_id", F.col("listed").alias("cand_name"), "rank")
