@@ -32,7 +32,7 @@ from songloom.llm.common import pick
 
 OPEN, CLOSE = "### ", "</turn>"
 TRAINED_ROLE = "assistant"
-_CONTROL = re.compile(r"(\\*)(###|</turn>)")
+_CONTROL = re.compile(r"###|</turn>")
 _ROLE_ESCAPES = {"\\": "\\\\", ":": "\\c", "#": "\\h", "<": "\\l", "\n": "\\n"}
 _ROLE_PLAIN = {v[1]: k for k, v in _ROLE_ESCAPES.items()}
 
@@ -42,11 +42,17 @@ class GrammarError(ValueError):
 
 
 def escape(text: str) -> str:
+    """One more backslash before each control string; at its end, where it joins those that stand there."""
     return _CONTROL.sub(r"\\\g<0>", text)
 
 
 def unescape(text: str) -> str:
-    return _CONTROL.sub(lambda m: m[0][1:], text)
+    """One backslash less before each control string."""
+    pieces, at = [], 0
+    for found in _CONTROL.finditer(text):
+        pieces.append(text[at : max(at, found.start() - 1)])
+        at = found.start()
+    return "".join([*pieces, text[at:]])
 
 
 def render_turn(role: str, content: str) -> str:
@@ -63,8 +69,9 @@ def parse_turns(rendered: str) -> list[tuple[str, str]]:
             raise GrammarError("a turn has to begin here")
         role = re.sub(r"\\(.)", lambda m: _ROLE_PLAIN[m[1]], rendered[at + len(OPEN) : colon])
         begin = colon + 2
-        end = next((m for m in _CONTROL.finditer(rendered, begin) if not m[1]), None)
-        if end is None or end[2] != CLOSE or end.start() <= begin or rendered[end.start() - 1] != "\n":
+        hits = _CONTROL.finditer(rendered, begin)
+        end = next((m for m in hits if m.start() == begin or rendered[m.start() - 1] != "\\"), None)
+        if end is None or end[0] != CLOSE or end.start() <= begin or rendered[end.start() - 1] != "\n":
             raise GrammarError("the text of a turn does not end")
         turns.append((role, unescape(rendered[begin : end.start() - 1])))
         at = end.end() + 1

@@ -22,21 +22,41 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that no column of the frame has, whatever its own are called."""
+    taken = {c.lower() for c in df.columns}
+    names = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        names.append(name)
+    return names
+
+
+def hashable(df: DataFrame) -> list[Column]:
+    """All columns for ``xxhash64``; types that hold a map go in as JSON."""
+    columns = [(F.col(f"`{f.name}`"), f.dataType.simpleString()) for f in df.schema]
+    return [F.to_json(F.struct(c.alias("c"))) if "map<" in kind else c for c, kind in columns]
+
+
 def same(left: str, right: str, keys: list[str]) -> Column:
     """Join condition on keys of two aliased frames, null equal to null."""
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
 
-def numbered(rows: DataFrame, keys: list[str], order: list[str], group_rows: str, name: str) -> DataFrame:
+def numbered(
+    rows: DataFrame, keys: list[str], order: list[str], group_rows: str, name: str, ties: tuple[str, ...] = ()
+) -> DataFrame:
     """Number the rows of each group gaplessly from 0, however large a group is.
 
     ``group_rows`` names a column with the size of the row's group. A group is dealt over cells of
     about a thousand rows by a hash of ``order``; rows are numbered in their cell, and the sizes of
-    the cells before it are added. Reruns give the same numbers if ``order`` tells rows apart.
+    the cells before it are added. Reruns give the same numbers if ``order`` and ``ties`` tell rows apart;
+    ``ties`` say nothing else.
     """
     cells = F.ceil(F.col(group_rows) / F.lit(CELL_ROWS))
     dealt = rows.withColumn("_cell", F.pmod(F.xxhash64(*order), F.greatest(cells, F.lit(1))))
-    within = Window.partitionBy(*keys, "_cell").orderBy(*order)
+    within = Window.partitionBy(*keys, "_cell").orderBy(*order, *ties)
     local = dealt.withColumn("_place", F.row_number().over(within).cast("long") - 1)
     sizes = dealt.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)

@@ -326,14 +326,16 @@ def cell_choices(placed: DataFrame) -> DataFrame:
     """
     kind, arrow = _types(placed, "conv_id")
     narrow = placed.select("conv_id", "cell", "place", "n", _symbol().alias("symbol"), _role_class().alias("role_class"))
-    dealt = narrow.repartition("conv_id", "cell").sortWithinPartitions("conv_id", "cell", "place")
+    # Cells are few bytes and much work: they are spread by number, which the planner leaves alone.
+    parts = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = narrow.repartition(parts, "conv_id", "cell").sortWithinPartitions("conv_id", "cell", "place")
     cells = dealt.mapInArrow(partial(_cell_rows, arrow), f"conv_id {kind}, {CELL_FIELDS}")
-    back = cells.repartition("conv_id").sortWithinPartitions("conv_id", F.desc("cell"))
+    back = cells.repartition(parts, "conv_id").sortWithinPartitions("conv_id", F.desc("cell"))
     fields = f"conv_id {kind}, " + CELL_FIELDS.replace("matrix array<long>, ", "")
     costs = stage(back.mapInArrow(_backward, f"{fields}, to_come array<long>, cost long, last boolean"))
     fields = f"conv_id {kind}, cell long, first_role int, last_role int, illegal long, cost long"
-    ways = costs.repartition("conv_id", "cell").mapInArrow(_unroll_cells, f"{fields}, audits array<string>, exits array<int>")
-    ahead = ways.repartition("conv_id").sortWithinPartitions("conv_id", "cell")
+    ways = costs.repartition(parts, "conv_id", "cell").mapInArrow(_unroll_cells, f"{fields}, audits array<string>, exits array<int>")
+    ahead = ways.repartition(parts, "conv_id").sortWithinPartitions("conv_id", "cell")
     return stage(ahead.mapInArrow(_forward, f"conv_id {kind}, cell long, entry int, audit string, illegal long, cost long"))
 
 

@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from songloom.llm.common import give_back_memory, lean, pick
+from songloom.llm.common import free_names, give_back_memory, lean, pick
 from songloom.llm.words import Words, mix, word_chunks
 from songloom.plans.staging import stage
 
@@ -260,7 +260,8 @@ def identified_documents(
     known = documents.filter(in_training(F.col(f"`{id_col}`")))
     model = train(known, text_col, lang_col)
     language = language_of(documents.sparkSession, model)
-    found, said = F.col("_language"), F.col(f"`{lang_col}`")
+    name, = free_names(documents, "_language")
+    found, said = F.col(name), F.col(f"`{lang_col}`")
     foreign = F.lit(False)
     if model:
         names = F.array(*[F.lit(x) for x in model.languages])
@@ -269,5 +270,5 @@ def identified_documents(
         place, at = [F.nullif(F.array_position(names, x), F.lit(0)).cast("int") - 1 for x in (said, found["lang_pred"])]
         below = F.get(found["shares"], place) < F.get(limits, at * len(model.languages) + place)
         foreign = F.coalesce(below & (found["score"] > 0), F.lit(False))
-    marked = documents.withColumn("_language", language(F.col(f"`{text_col}`")))
-    return marked.filter((found["lang_pred"] != UNKNOWN) & ~foreign).drop("_language")
+    marked = documents.withColumn(name, language(F.col(f"`{text_col}`")))
+    return marked.filter((found["lang_pred"] != UNKNOWN) & ~foreign).drop(name)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from songloom.llm.common import CELL_ROWS, numbered, pick, same
+from songloom.llm.common import CELL_ROWS, free_names, hashable, numbered, pick, same
 from songloom.plans.staging import stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -149,11 +149,11 @@ def _rounded(cap: float):
     return copies
 
 
-def _marked(documents: DataFrame) -> DataFrame:
-    """With 128 bits ``_d1`` and ``_d2`` that tell rows apart; hashes skip nulls, so where these are goes in as well."""
+def _marked(documents: DataFrame, d1: str = "_d1", d2: str = "_d2") -> DataFrame:
+    """With 128 bits in two columns that tell rows apart; hashes skip nulls, so where these are goes in as well."""
     own = [F.col(f"`{c}`") for c in documents.columns]
-    whole = [*own, *[c.isNull() for c in own]]
-    return documents.select(*own, *[F.xxhash64(F.lit(d), *whole).alias(d) for d in ("_d1", "_d2")])
+    whole = [*hashable(documents), *[c.isNull() for c in own]]
+    return documents.select(*own, *[F.xxhash64(F.lit(salt), *whole).alias(name) for salt, name in (("_d1", d1), ("_d2", d2))])
 
 
 def mixing_plan(
@@ -161,16 +161,14 @@ def mixing_plan(
     weights: tuple[float, ...] = WEIGHTS, cap: int = CAP,
 ) -> DataFrame:
     """``(doc_id, source, size, source_size, target, rate, copies, taken)`` for every row."""
-    return _marked_plan(documents, id_col, text_col, source_col, weights, cap).drop("_d1", "_d2")
+    given = pick(documents, doc_id=id_col, text=text_col, source=source_col)
+    return _marked_plan(_marked(given), weights, cap).drop("_d1", "_d2")
 
 
-def _marked_plan(
-    documents: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP
-) -> DataFrame:
-    """``mixing_plan`` with the digest of each row."""
-    given = pick(_marked(documents), doc_id=id_col, text=text_col, source=source_col, _d1="_d1", _d2="_d2")
+def _marked_plan(given: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """``mixing_plan`` of rows ``(doc_id, text, source, _d1, _d2)``, with the digest of each row."""
     source = F.col("source").cast("string").alias("source")
-    rows = stage(given.select("doc_id", source, word_count(F.col("text")).alias("size"), "_d1", "_d2"))
+    rows = stage(given.select("doc_id", source, word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("_text"), "_d1", "_d2"))
     histogram = stage(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     found = solve_multipliers(histogram, weights, cap)
     rated = _with_rates(histogram.filter("size > 0"), found, cap)
@@ -182,17 +180,16 @@ def _marked_plan(
     joined = rows.alias("l").join(decided.alias("r"), same("l", "r", ["source", "size"]))
     joined = joined.select("l.*", "n", "rate", "copies")
     taking = joined.filter("copies > 0")
-    order = ["_mixed", "doc_id", "_d1", "_d2"]
-    ranked = numbered(
-        taking.withColumn("_mixed", F.xxhash64(F.lit("mixing"), "doc_id", "_d1")), ["source", "size"], order, "n", "_rank"
-    )
+    drawn = taking.withColumn("_mixed", F.xxhash64(F.lit("mixing"), "doc_id", "_text"))
+    # By id and text, so that columns that play no part change no draw; rows alike in both are told apart by the rest.
+    ranked = numbered(drawn, ["source", "size"], ["_mixed", "doc_id", "_text"], "n", "_rank", ties=("_d1", "_d2"))
     more = (F.col("_rank") < F.col("copies") % F.col("n")).cast("long")
     several = ranked.select(
         "doc_id", "source", "size", "_d1", "_d2", "rate", (F.floor(F.col("copies") / F.col("n")) + more).alias("copies")
     )
     none = joined.filter("copies = 0").select("doc_id", "source", "size", "_d1", "_d2", "rate", F.lit(0).cast("long").alias("copies"))
     known = [(n, int(s), float(t)) for n, s, t in zip(found.names, found.tokens, found.target)]
-    totals = documents.sparkSession.createDataFrame(known, "source string, source_size long, target double")
+    totals = given.sparkSession.createDataFrame(known, "source string, source_size long, target double")
     both = several.union(none).alias("l").join(totals.alias("r"), same("l", "r", ["source"]))
     return both.select(
         "l.doc_id", "l.source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"),
@@ -204,20 +201,24 @@ def mixed_documents(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
 ) -> DataFrame:
     """The documents themselves, each as often as the mix takes it."""
-    plan = _marked_plan(documents, id_col, text_col, source_col, **options)
+    d1, d2, each, more, part, copy = free_names(documents, "_d1", "_d2", "_each", "_more", "_part", "_copy")
+    marked = _marked(documents, d1, d2)
+    plan = _marked_plan(pick(marked, doc_id=id_col, text=text_col, source=source_col, _d1=d1, _d2=d2), **options)
     rows, copies = F.count(F.lit(1)), F.sum("copies")
-    keys = plan.groupBy("_d1", "_d2").agg(F.floor(copies / rows).cast("int").alias("_each"), (copies % rows).alias("_more"))
-    keys = stage(keys.filter("_each > 0 or _more > 0"))
-    own, marked = [F.col(f"`{c}`") for c in documents.columns], _marked(documents)
-    # Nearly always a row stands alone and all its copies are in _each.
-    each = marked.join(keys.filter("_each > 0").select("_d1", "_d2", "_each"), ["_d1", "_d2"])
-    mixed = each.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_each")))).select(*own)
-    some = keys.filter("_more > 0").select("_d1", "_d2", "_more")
+    keys = plan.groupBy(F.col("_d1").alias(d1), F.col("_d2").alias(d2)).agg(
+        F.floor(copies / rows).cast("int").alias(each), (copies % rows).alias(more)
+    )
+    keys = stage(keys.filter((F.col(each) > 0) | (F.col(more) > 0)))
+    own = [F.col(f"`{c}`") for c in documents.columns]
+    # Nearly always a row stands alone and all its copies are in that number.
+    all_alike = marked.join(keys.filter(F.col(each) > 0).select(d1, d2, each), [d1, d2])
+    mixed = all_alike.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(each)))).select(*own)
+    some = keys.filter(F.col(more) > 0).select(d1, d2, more)
     if some.isEmpty():
         return mixed
     # Of equal rows some get one copy more: one of the rows gives them, dealt over several tasks.
-    one = marked.join(some, ["_d1", "_d2"]).dropDuplicates(["_d1", "_d2"])
-    parts = one.withColumn("_part", F.explode(F.sequence(F.lit(0), F.floor((F.col("_more") - 1) / CELL_ROWS))))
-    number = F.least(F.lit(CELL_ROWS), F.col("_more") - F.col("_part") * CELL_ROWS)
-    dealt = parts.repartition("_d1", "_d2", "_part")
-    return mixed.unionAll(dealt.withColumn("_copy", F.explode(F.sequence(F.lit(1), number.cast("int")))).select(*own))
+    one = marked.join(some, [d1, d2]).dropDuplicates([d1, d2])
+    parts = one.withColumn(part, F.explode(F.sequence(F.lit(0), F.floor((F.col(more) - 1) / CELL_ROWS))))
+    number = F.least(F.lit(CELL_ROWS), F.col(more) - F.col(part) * CELL_ROWS)
+    dealt = parts.repartition(d1, d2, part)
+    return mixed.unionAll(dealt.withColumn(copy, F.explode(F.sequence(F.lit(1), number.cast("int")))).select(*own))

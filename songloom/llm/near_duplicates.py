@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from songloom.llm.common import components, lean, pick, sorted_groups
+from songloom.llm.common import components, free_names, hashable, lean, pick, sorted_groups
 from songloom.llm.words import mix, shingle_sets, word_chunks
 from songloom.plans.staging import stage
 
@@ -290,12 +290,11 @@ def keep_one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
     Rows without an id stay. Of rows that repeat an id one stays, with the text that stood for it.
     """
+    name, text_digest, copy = free_names(documents, "_kept", "_digest", "_copy")
     classes = _classes(documents, id_col, text_col, width).filter("kept")
     named = documents.filter(F.col(f"`{id_col}`").isNotNull())
-    kept = classes.select(F.col("doc_id").alias("_kept"), F.col("digest").alias("_digest"))
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns])
-    own = Window.partitionBy(F.col(f"`{id_col}`")).orderBy(whole)
-    at = (F.col(f"`{id_col}`").cast("long") == F.col("_kept")) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("_digest"))
-    joined = named.join(kept, at, "left_semi")
-    one = joined.withColumn("_copy", F.row_number().over(own)).filter("_copy = 1").drop("_copy")
+    kept = classes.select(F.col("doc_id").alias(name), F.col("digest").alias(text_digest))
+    own = Window.partitionBy(F.col(f"`{id_col}`")).orderBy(F.xxhash64(*hashable(documents)))
+    at = (F.col(f"`{id_col}`").cast("long") == F.col(name)) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col(text_digest))
+    one = named.join(kept, at, "left_semi").withColumn(copy, F.row_number().over(own)).filter(F.col(copy) == 1).drop(copy)
     return one.unionByName(documents.filter(F.col(f"`{id_col}`").isNull()))

@@ -2,7 +2,7 @@
 
 The tree is fitted on the driver over at most ``FIT_ROWS`` vectors, chosen by a hash of their id; every
 vector is then put into its leaf. A query walks the tree best bin first: a priority queue holds the
-nodes seen, keyed by the most that an inner product with anything below can be, and leaves are visited
+nodes seen, keyed by how large an inner product below is likely to get, and leaves are visited
 in the order in which they come off the queue. How many leaves are visited is calibrated: for at most
 ``CALIBRATION_ROWS`` queries the true neighbours are found by brute force over all vectors, and the
 number is the least for which they miss no more than ``1 - RECALL`` of them. A query whose leaves hold
@@ -13,7 +13,7 @@ in double precision; near the cut-off scores are made again one by one in a fixe
 have equal scores and ties go to the smaller id.
 
 Left out are vectors that are null, zero, or hold null or non-finite components, null ids, and vectors
-of another length than most have. Of rows that repeat an id the greatest vector counts.
+and queries of another length than most vectors have. Of rows that repeat an id the greatest vector counts.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ ROW_SCHEMA = "vec_id long, vector array<double>"
 
 @dataclass
 class Node:
-    """Its vectors lie within ``radius`` of ``center``; a leaf has a number, other nodes have children."""
+    """Half of its vectors lie within ``radius`` of ``center``; a leaf has a number, other nodes have children."""
 
     center: np.ndarray
     radius: float
@@ -110,15 +110,19 @@ def fit_tree(vectors: np.ndarray) -> Tree:
     return Tree(grow(vectors, 0), leaves)
 
 
-def usable_vectors(embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``(vec_id, vector)``, one row for each id that takes part."""
+def usable_vectors(
+    embeddings: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", length: int | None = None
+) -> DataFrame:
+    """``(vec_id, vector)``, one row for each id that takes part; vectors have ``length``, else the usual one."""
     rows = pick(embeddings, vec_id=id_col, vector=vector_col).filter("vec_id is not null and vector is not null")
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("vector").cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.filter(finite & F.exists("vector", lambda x: x != 0))
-    lengths = rows.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n"))
-    usual = lengths.orderBy(F.desc("n"), F.desc("length")).limit(1).collect()
-    rows = rows.filter(F.size("vector") == (usual[0]["length"] if usual else 0))
+    if length is None:
+        lengths = rows.groupBy(F.size("vector").alias("length")).agg(F.count(F.lit(1)).alias("n"))
+        usual = lengths.orderBy(F.desc("n"), F.desc("length")).limit(1).collect()
+        length = usual[0]["length"] if usual else 0
+    rows = rows.filter(F.size("vector") == length)
     return rows.groupBy("vec_id").agg(F.max("vector").alias("vector"))
 
 
@@ -229,10 +233,13 @@ def nearest_neighbours(
     """
     spark = embeddings.sparkSession
     usable = stage(usable_vectors(embeddings, id_col, vector_col))
-    asked = stage(usable_vectors(queries, id_col, vector_col))
+    nothing = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     _, sample = _sample(usable, FIT_ROWS, "fit")
-    if not len(sample) or asked.isEmpty():
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    if not len(sample):
+        return nothing
+    asked = stage(usable_vectors(queries, id_col, vector_col, length=sample.shape[1]))
+    if asked.isEmpty():
+        return nothing
     tree = fit_tree(sample)
     indexed = stage(usable.mapInArrow(_leaf_rows(tree), ROW_SCHEMA + ", leaf int"))
     visits = calibrated_visits(tree, indexed, asked, k, recall)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -19,6 +20,13 @@ def test_any_turns_come_back(turns):
     assert parse_turns("".join(format_turn(r, t) for r, t in turns)) == turns
 
 
+@pytest.mark.parametrize("text", ["\\" * 1_000_000, "\\" * 1_000_000 + "###", "\\###" * 100_000, "</turn>\n" * 100_000])
+def test_long_texts_take_linear_time(text):
+    begun = time.perf_counter()
+    assert parse_turns(format_turn("user", text)) == [("user", text)]
+    assert time.perf_counter() - begun < 5
+
+
 def test_only_conflicting_text_is_escaped():
     assert format_turn("user", "a ## b \\ c") == "### user:\na ## b \\ c\n</turn>\n"
     assert "\\###" in format_turn("user", "### x")

@@ -58,6 +58,13 @@ def test_fewer_candidates_than_asked(spark):
     assert sorted((g.rank, g.vec_id) for g in got) == [(1, 1), (2, 2), (3, 3), (4, 4)]
 
 
+def test_queries_of_another_length(spark):
+    rows = [(i, [1.0, float(i)] if i % 20 else [1.0, 2.0, 3.0], 1) for i in range(1, 200)] + [(400, [1.0, 0.5], 1)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = nearest_neighbours(frame, frame.filter("vec_id % 20 = 0"), 3).collect()
+    assert sorted((g.query_id, g.rank, g.vec_id) for g in got) == [(400, 1, 199), (400, 2, 198), (400, 3, 197)]
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert nearest_neighbours(empty, empty).count() == 0

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from songloom.llm.packing import packed_documents
 from songloom.llm.token_counts import read_cache, token_counts
 from songloom.llm.tokenizing import token_ids, tokenizer_path
 
@@ -34,7 +35,10 @@ def test_ids_equal_the_library_for_random_strings(library):
         assert token_ids(PATH, text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
-@pytest.mark.parametrize("text", [" " * 200_000, "x" * 50_000, "word " * 100_000, "\n \n" * 30_000])
+LONG = [" " * 2_000_000, "\n" * 2_000_000, " \n" * 1_000_000, "\\" * 2_000_000, "x" + " " * 1_500_000 + "y"]
+
+
+@pytest.mark.parametrize("text", [" " * 200_000, "x" * 50_000, "word " * 100_000, "\n \n" * 30_000, *LONG])
 def test_very_long_texts(library, text):
     assert token_ids(PATH, text).tolist() == library.encode(text, add_special_tokens=False).ids
 
@@ -69,5 +73,13 @@ def test_counts_and_cache(spark, tmp_path, library):
     assert {r.n_tokens for r in token_counts(frame.filter("doc_id in (1, 4)"), fresh).collect()} == {77}
 
 
+def test_no_text_ends_the_job(spark, tmp_path, library):
+    frame = spark.createDataFrame(list(enumerate(LONG)), "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in token_counts(frame, str(tmp_path / "cache")).collect()}
+    assert got == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(LONG)}
+    lengths = packed_documents(frame).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert {r.doc_id: r.n - 1 for r in lengths} == got  # an end token each
+
+
 def test_empty_table(spark, tmp_path):
     assert token_counts(spark.createDataFrame([], "doc_id long, text string"), str(tmp_path / "c")).count() == 0
