@@ -156,6 +156,9 @@ SELECT CAST(FLOOR(e.event_id / 4.0) AS BIGINT) AS isb_id, CAST(e.event_id % 4 +
 FROM @events e LEFT JOIN @pages p ON p.page_id = CAST(FLOOR(e.event_id / 4.0) AS BIGINT)
 """
 
+# The same events fetched again, with the attempts the other way round.
+REFETCH_LOG = f"SELECT isb_id, 5 - attempt AS attempt, status, html FROM ({FETCH_LOG}) first_run"
+
 # Per order: the film that was typed, and the parts of its lines as the search hits.
 LOOKUPS = f"""
 SELECT k AS lookup_key, {_FILM} AS query, CASE WHEN k % 11 = 0 THEN NULL ELSE order_year END AS year
@@ -196,13 +199,15 @@ SELECT CASE s_suppkey % 3 WHEN 0 THEN 'Maestro ' ELSE 'Ustaad ji ' END || s_name
 FROM @supplier
 """
 
-# Files as they lie on disk: songs, songs without a word under names without digits, and some that are no song files.
+# Files as they lie on disk: songs, songs without a word under names without digits, files of no bytes, and some
+# that are no song files.
 DISK_FILES = """
 SELECT CAST(s_suppkey AS STRING) || '.isb.txt' AS name,
        CAST(chr(92) || 'film' || chr(123) || s_name || chr(125) || chr(10) || chr(92) || 'singer' || chr(123) || 'A' || chr(125)
          || chr(10) || '#indian' || chr(10) || 'line ' || s_name || chr(10) || '#endindian' || chr(10) AS @blob) AS content
 FROM @supplier
 UNION ALL SELECT 'x' || CAST(n_nationkey AS STRING) || '.isb.txt', CAST('%' AS @blob) FROM @nation
+UNION ALL SELECT CAST(9000000 + r_regionkey AS STRING) || '.isb.txt', CAST('' AS @blob) FROM @region
 UNION ALL SELECT CAST(r_regionkey AS STRING) || '.txt', CAST('not a song file' AS @blob) FROM @region
 """
 

@@ -156,16 +156,20 @@ add(
     f"""WITH {PAGES} SELECT isb_id, stitle, film, year, starring, singer, music, lyricist, lyrics_rendered
     FROM worked WHERE {VALID}""",
 )
-ROUTED = f"""
-log AS ({I.FETCH_LOG}),
-ends AS (SELECT isb_id, arg_min(status, attempt) AS status, arg_min(html, attempt) AS html
-         FROM log WHERE attempt <= 3 AND status IN (200, 404) GROUP BY isb_id),
-routed AS (SELECT i.isb_id, status,
+def routed(log: str, name: str = "routed") -> str:
+    return f"""
+{name}_log AS ({log}),
+{name}_ends AS (SELECT isb_id, arg_min(status, attempt) AS status, arg_min(html, attempt) AS html
+         FROM {name}_log WHERE attempt <= 3 AND status IN (200, 404) GROUP BY isb_id),
+{name} AS (SELECT i.isb_id, status,
   status = 200 AND length(html) >= 500
     AND NOT contains(lower(regexp_extract(html, '(?is)<title>(.*?)</title', 1)), 'not found') AS ok,
   regexp_extract(html, '<pre>([^<]*)</pre>', 1) AS lyrics
-  FROM (SELECT DISTINCT isb_id FROM log) i LEFT JOIN ends e ON e.isb_id = i.isb_id)
+  FROM (SELECT DISTINCT isb_id FROM {name}_log) i LEFT JOIN {name}_ends e ON e.isb_id = i.isb_id)
 """
+
+
+ROUTED = routed(I.FETCH_LOG)
 add(
     "route_fetch_log",
     f"""WITH {ROUTED} SELECT isb_id, CASE WHEN ok THEN 'saved' ELSE 'failed' END AS outcome,
@@ -233,6 +237,10 @@ add(
     "first_files",
     f"SELECT isb_id, source_file FROM ({I.FILE_SONGS}) f ORDER BY {LEADING}, source_file LIMIT 500",
 )
+add(
+    "first_many_files",
+    f"SELECT isb_id, source_file FROM ({I.FILE_SONGS}) f ORDER BY {LEADING}, source_file LIMIT 12000",
+)
 add(
     "first_merged",
     f"""WITH {MERGED} SELECT isb_id, film, source_file FROM merged
@@ -255,18 +263,31 @@ add(
     "file_scan",
     f"""SELECT CAST(s_suppkey AS INT) AS isb_id, s_name AS film, 'A' AS singer, 'line ' || s_name AS lyrics_itrans,
     CAST(s_suppkey AS VARCHAR) || '.isb.txt' AS source_file FROM supplier
-    UNION ALL SELECT NULL, '', '', '', 'x' || CAST(n_nationkey AS VARCHAR) || '.isb.txt' FROM nation""",
+    UNION ALL SELECT NULL, '', '', '', 'x' || CAST(n_nationkey AS VARCHAR) || '.isb.txt' FROM nation
+    UNION ALL SELECT CAST(9000000 + r_regionkey AS INT), '', '', '', CAST(9000000 + r_regionkey AS VARCHAR) || '.isb.txt' FROM region""",
 )
 add(
     "run_counters",
     f"""WITH {ROUTED}, done AS ({I.SCRAPED_SONGS}), todo AS (SELECT * FROM routed WHERE isb_id NOT IN (SELECT isb_id FROM done))
     SELECT 'parsed' AS counter, COUNT(*) AS n FROM ({I.SONG_FILES}) f
+    UNION ALL SELECT 'unreadable', 0
     UNION ALL SELECT 'skipped', COUNT(*) FROM routed WHERE isb_id IN (SELECT isb_id FROM done)
     UNION ALL SELECT 'saved', COUNT(*) FROM todo WHERE ok
     UNION ALL SELECT 'failed', COUNT(*) FROM todo WHERE NOT COALESCE(ok, false)
+    UNION ALL SELECT 'films_asked', COUNT(*) FROM ({I.KNOWN_FILMS}) f
+    UNION ALL SELECT 'people_asked', COUNT(*) FROM ({I.KNOWN_PEOPLE}) p
     UNION ALL SELECT 'films_resolved', COUNT(imdb_id) FROM ({I.KNOWN_FILMS}) f
     UNION ALL SELECT 'people_resolved', COUNT(imdb_id) FROM ({I.KNOWN_PEOPLE}) p""",
 )
+add(
+    "ingest_refetched",
+    f"""WITH {routed(I.FETCH_LOG, 'r')}, {routed(I.REFETCH_LOG, 'again')},
+    both_runs AS (SELECT isb_id, r.ok AS first_ok, r.lyrics AS first_lyrics, a.ok AS ok, a.lyrics AS lyrics
+                  FROM r JOIN again a USING (isb_id))
+    SELECT CAST(isb_id AS INT) AS isb_id, 'saved' AS outcome, CASE WHEN ok THEN lyrics ELSE first_lyrics END AS lyrics_rendered
+    FROM both_runs WHERE ok OR first_ok
+    UNION ALL SELECT CAST(isb_id AS INT), 'failed', NULL FROM both_runs WHERE NOT (COALESCE(ok, false) AND COALESCE(first_ok, false))""",
+)
 add(
     "ingest_replayed",
     f"""WITH {ROUTED} SELECT CAST(isb_id AS INT) AS isb_id, CASE WHEN ok THEN 'saved' ELSE 'failed' END AS outcome,

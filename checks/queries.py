@@ -246,6 +246,12 @@ def first_files(spark, sf):
     return first_n(songs, 500, file_key()).select("isb_id", "source_file")
 
 
+@query
+def first_many_files(spark, sf):
+    """More than are taken at once: the last one is found by counts over ranges."""
+    return first_n(I.derive(spark, sf, I.FILE_SONGS), 12_000, file_key()).select("isb_id", "source_file")
+
+
 @query
 def first_merged(spark, sf):
     merged = merge_sources(I.derive(spark, sf, I.FILE_SONGS), I.derive(spark, sf, I.SCRAPED_SONGS))
@@ -302,16 +308,16 @@ def file_scan(spark, sf):
 
 @query
 def run_counters(spark, sf):
-    """Files, fetches, skipped ids and resolved names of a job."""
+    """Files, fetches, skipped ids and resolved names of a job, taken while its parts are written."""
+    counters = summary.JobCounters()
     log = I.derive(spark, sf, I.FETCH_LOG)
     done = I.derive(spark, sf, I.SCRAPED_SONGS).select(F.col("isb_id").cast("bigint").alias("isb_id"))
-    return summary.job_counters(
-        parsed=_songs(spark, sf),
-        outcomes=route_fetches(log.join(done, "isb_id", "left_anti")),
-        skipped=log.select("isb_id").distinct().join(done, "isb_id", "left_semi"),
-        film_answers=I.derive(spark, sf, I.KNOWN_FILMS),
-        person_answers=I.derive(spark, sf, I.KNOWN_PEOPLE),
-    )
+    target = _scratch(spark)
+    stage(parse_songs(counters.watch_files(I.derive(spark, sf, I.SONG_FILES))))
+    log_batch(log, f"{target}/store", "counted", 0, done, counters=counters)
+    for name, table in (("films", I.KNOWN_FILMS), ("people", I.KNOWN_PEOPLE)):
+        stage(counters.watch_answers(I.derive(spark, sf, table), name))
+    return counters.frame(spark)
 
 
 # --- names and matching --------------------------------------------------------------------
@@ -528,6 +534,23 @@ def ingest_replayed(spark, sf):
     return songs.unionByName(failed)
 
 
+@query
+def ingest_refetched(spark, sf):
+    """A fetch log streamed, then everything fetched again: the attempts of an id lie in different batches of a run."""
+    target = _scratch(spark)
+    for name, table, resume in (("first", I.FETCH_LOG, True), ("again", I.REFETCH_LOG, False)):
+        log = I.derive(spark, sf, table)
+        log.repartition(2, "attempt").write.parquet(f"{target}/{name}")
+        stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{target}/{name}")
+        ingest_fetches(stream, f"{target}/store", f"{target}/{name}-checkpoint", resume=resume).awaitTermination()
+    store.compact(spark, f"{target}/store")
+    songs = store.read_store(spark, f"{target}/store", "songs").select("isb_id", F.lit("saved").alias("outcome"), "lyrics_rendered")
+    failed = store.read_store(spark, f"{target}/store", "failures").select(
+        "isb_id", F.lit("failed").alias("outcome"), F.lit(None).cast("string").alias("lyrics_rendered")
+    )
+    return songs.unionByName(failed)
+
+
 @query
 def catalogue_from_answers(spark, sf):
     """A run that saves its answers, and another that has nothing but them."""

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from songloom.sources.buckets import BUCKET, append_buckets, buckets_of, read_buckets
+
 # The two answer tables.
 FILM_SCHEMA = "cache_key string, imdb_id string"
 PERSON_SCHEMA = "name string, imdb_id string"
@@ -37,18 +39,14 @@ def read_answers_json(
     return films, people
 
 
-def read_answers(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_answers(spark: SparkSession, path: str, schema: str, keys: DataFrame | None = None) -> DataFrame:
     """A parquet answer table with one row per key; a missing one is empty.
 
-    Two runs that append at once may both store a key.
+    Two runs that append at once may both store a key. With ``keys``, a table of one column, only the
+    buckets of those keys are read.
     """
-    try:
-        stored = spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if not _missing(error):
-            raise
-        return spark.createDataFrame([], schema)
-    return one_per_key(stored)
+    buckets = None if keys is None else buckets_of(keys)
+    return one_per_key(read_buckets(spark, path, schema, buckets).drop(BUCKET))
 
 
 def one_per_key(answers: DataFrame) -> DataFrame:
@@ -64,6 +62,10 @@ def new_answers(answers: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def append_answers(answers: DataFrame, path: str, schema: str) -> None:
-    """Add the new answers to the stored ones. Each append commits as a whole."""
-    known = read_answers(answers.sparkSession, path, schema)
-    new_answers(answers, known).write.mode("append").parquet(path)
+    """Add the new answers to the stored ones. Each append commits as a whole.
+
+    Only the buckets of the answers' keys are read; ``answers`` is used twice for that.
+    """
+    key = answers.columns[0]
+    known = read_answers(answers.sparkSession, path, schema, answers.select(key))
+    append_buckets(new_answers(answers, known), path, key)

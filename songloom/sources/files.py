@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from songloom.sources.listing import list_files
+
 FILE_GLOB = "*.isb.txt"
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -21,17 +23,21 @@ def _song_file_rows(files: DataFrame) -> DataFrame:
     )
 
 
-def read_song_files(spark: SparkSession, folder: str) -> DataFrame:
+def read_song_files(spark: SparkSession, folder: str, empty_files: bool = True) -> DataFrame:
     """``(source_file, content)`` for every tagged file directly in ``folder``.
 
     Small files are packed into shared partitions by ``spark.sql.files.maxPartitionBytes`` and
-    ``openCostInBytes``. Files that cannot be read are skipped; ``unreadable_files`` lists them.
-    Raises ``FileNotFoundError`` when no file matches.
+    ``openCostInBytes``. Files of no bytes have empty content; they come from a listing of their own
+    (``listing``), which ``empty_files=False`` leaves out. Files that cannot be read are skipped;
+    ``unreadable_files`` lists them. Raises ``FileNotFoundError`` when no file matches.
     """
-    files = _binary_files(spark, folder)
-    if files.select("path").isEmpty():
+    files = _song_file_rows(_binary_files(spark, folder))
+    if empty_files:
+        empty = list_files(spark, folder, FILE_GLOB, largest=0)
+        files = files.unionByName(empty.select(F.col("name").alias("source_file"), F.lit("").alias("content")))
+    if files.select("source_file").isEmpty():
         raise FileNotFoundError(f"no {FILE_GLOB} files in {folder}")
-    return _song_file_rows(files)
+    return files
 
 
 def _binary_files(spark: SparkSession, folder: str) -> DataFrame:

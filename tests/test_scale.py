@@ -4,11 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from songloom import build_catalogue
-from songloom.operators import matching, skew
+from songloom.operators import matching, resolve, shape, skew
 from songloom.operators.resolve import attach_ids
 from songloom.operators.shape import file_key, first_n
+from songloom.operators.summary import JobCounters
 from songloom.plans import staging
+from songloom.plans.catalogue import export_catalogue
 from songloom.sources import answers as A
+from songloom.sources.csv_sink import read_csv
 
 CANDIDATE = "lookup_key long, rank int, cand_id string, cand_title string, cand_year int"
 
@@ -45,7 +48,9 @@ def test_blocks_lose_no_pair(spark):
     assert sorted((r.l, r.r) for r in got.collect()) == want
 
 
-def test_first_n_with_ties_and_without_texts_in_the_sort(spark):
+@pytest.mark.parametrize("most", [3, 10_000])
+def test_first_n_with_ties_and_without_texts_in_the_sort(spark, monkeypatch, most):
+    monkeypatch.setattr(shape, "TOP_ROWS", most)
     rows = [(i, f"{i % 5}.isb.txt" if i % 6 else None, "text") for i in range(60)]
     songs = spark.createDataFrame(rows, "isb_id int, source_file string, lyrics string")
     whole = [r.source_file for r in songs.orderBy(file_key()).collect()]
@@ -56,6 +61,52 @@ def test_first_n_with_ties_and_without_texts_in_the_sort(spark):
     assert first_n(songs.limit(0), 5, file_key()).count() == 0
 
 
+def test_first_n_with_most_rows_tied(spark, monkeypatch):
+    monkeypatch.setattr(shape, "TOP_ROWS", 10)
+    rows = [(i, "a.isb.txt" if i < 30 else "b.isb.txt", str(i)) for i in range(1000)]
+    songs = spark.createDataFrame(rows, "isb_id int, source_file string, lyrics string").repartition(7)
+    got = [r.isb_id for r in first_n(songs, 500, file_key()).collect()]
+    assert len(set(got)) == 500 and set(got[:30]) == set(range(30))
+
+
+def test_a_stopped_run_keeps_the_answers_it_found(spark, tmp_path, monkeypatch):
+    text = "\\film{Blue Road}\n\\year{1975}\n\\singer{Gita Fivee}\n#indian\nla\n#endindian\n"
+    files = spark.createDataFrame([("1.isb.txt", text)], "source_file string, content string")
+    films = spark.createDataFrame([("1", "Blue Road", 1975, 0)], "cand_id string, cand_title string, cand_year int, rank int")
+    people = spark.createDataFrame([("10", "Gita Five", 0)], "cand_id string, cand_name string, rank int")
+    kept = str(tmp_path / "kept")
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(resolve, "similar_members", stop)
+    with pytest.raises(RuntimeError):
+        build_catalogue(files=files, films=films, people=people, answers=kept)
+    assert [tuple(r) for r in A.read_answers(spark, f"{kept}/films", A.FILM_SCHEMA).collect()] == [("Blue Road|1975", "tt1")]
+
+
+def test_appending_reads_the_buckets_of_its_keys(spark, tmp_path):
+    path = str(tmp_path / "answers")
+    rows = spark.range(2000).select(F.concat(F.lit("film "), "id").alias("cache_key"), F.lit("tt1").alias("imdb_id"))
+    A.append_answers(rows, path, A.FILM_SCHEMA)
+    one = spark.createDataFrame([("film 7", "tt2"), ("new", "tt3")], A.FILM_SCHEMA)
+    A.append_answers(one, path, A.FILM_SCHEMA)
+    some = A.read_answers(spark, path, A.FILM_SCHEMA, one.select("cache_key"))
+    assert {"film 7", "new"} <= {r.cache_key for r in some.collect()} and some.count() < 150
+    assert {r.cache_key: r.imdb_id for r in some.collect()}["film 7"] == "tt1"
+    assert A.read_answers(spark, path, A.FILM_SCHEMA).count() == 2001
+
+
+def test_counters_and_export_of_a_catalogue(spark, tmp_path):
+    text = "\\film{Blue Road}\n\\year{1975}\n\\singer{Gita Five, Nobody}\n#indian\nla\n#endindian\n"
+    files = spark.createDataFrame([("1.isb.txt", text), ("2.isb.txt", None)], "source_file string, content string")
+    people = spark.createDataFrame([("10", "Gita Five", 0)], "cand_id string, cand_name string, rank int")
+    counters = JobCounters()
+    export_catalogue(spark, str(tmp_path / "out"), files=files, people=people, counters=counters)
+    assert counters.totals() == {"parsed": 1, "unreadable": 1, "people_asked": 2, "people_resolved": 1, "films_asked": 0, "films_resolved": 0}
+    assert read_csv(spark, str(tmp_path / "out")).count() == 2
+
+
 def test_stages_are_given_back(spark):
     rows = spark.range(50)
     with staging.dropping_stages(spark):
