@@ -135,7 +135,7 @@ SELECT page_id AS isb_id,
        '<!-- <b>Film:</b> in a comment --><script>var s = "<b>Film:</b> in a script";</script>' ||
        '<style-x>shown</style-x><pre-note>no lyrics</pre-note>' ||
        '<p><b>Film:</b> first<br/>' ||
-       '<b class="l">Movie</b>: ' || url || ' &amp; more&apos;s &copy 5 &ampx<br/>' ||
+       '<b class="l" title="1 > 0 <b>">Movie</b>: ' || url || ' &amp; more&apos;s &copy 5 &ampx<br/>' ||
        CASE WHEN page_id % 4 = 0 THEN '<b>YEAR:</b> n/a ' ELSE '<B>Year</B>: ' || CAST(1900 + page_id AS STRING) || ' ' END ||
        '<b>Singers:</b>' || CASE WHEN page_id % 2 = 0 THEN ' A ' || CAST(page_id AS STRING) || ', B ' ELSE '<br>' END ||
        '<b>Composer:</b> : C &copy; D<i>x</i><b>Cast:</b></p>' ||

@@ -117,7 +117,7 @@ FIELD = f"""CASE WHEN {LABEL} IN ('film', 'movie') THEN 'film' WHEN {LABEL} = 'y
  WHEN {LABEL} IN ('singer', 'singers') THEN 'singer' WHEN {LABEL} IN ('music', 'composer') THEN 'music'
  WHEN {LABEL} IN ('lyrics', 'lyricist') THEN 'lyricist' WHEN {LABEL} IN ('starring', 'cast') THEN 'starring' END"""
 # Labels followed by text, by a line break, or by a linked text.
-LABEL_PATTERN = r"(?i)<b(?: [^>]*)?>([^<]*)</b>([^<]+|<br>|<a>[^<]*</a>|<i>[^<]*</i>)"
+LABEL_PATTERN = r'(?i)<b(?: (?:[^>"]|"[^"]*")*)?>([^<]*)</b>([^<]+|<br>|<a>[^<]*</a>|<i>[^<]*</i>)'
 PAGES = f"""
 pages_in AS ({I.LABELLED_PAGES}),
 shown AS (SELECT isb_id, html AS raw, {SHOWN} AS html FROM pages_in),

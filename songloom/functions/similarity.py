@@ -62,27 +62,20 @@ def _bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def _places(letters: Column, letter: Column) -> Column:
-    """Bit per element of ``letters``, set where it equals ``letter``; the last is the lowest bit."""
-    return F.aggregate(
-        letters, F.lit(0).cast("bigint"), lambda bits, x: bits * 2 + F.when(x == letter, 1).otherwise(0)
-    )
-
+def _bits(text: Column, letter: Column) -> Column:
+    """A bit for each character of a text of at most one word, set where it is ``letter``; the first is the highest.
 
-def _letter_places(text: Column) -> Column:
-    """``map<letter, bits>``: for each letter of a text of one word the places where it stands.
-
-    The first character is the highest bit. String functions mark the places, so that no step of it
-    is interpreted letter by letter.
+    String functions mark the places, so that no step of it is interpreted letter by letter.
     """
+    marked = F.replace(text, letter, F.lit(_MARK))
+    digits = F.replace(F.regexp_replace(marked, f"[^{_MARK}]", "0"), F.lit(_MARK), F.lit("1"))
+    return F.conv(digits, 2, 10).cast("bigint")
 
-    def bits(letter: Column) -> Column:
-        marked = F.replace(text, letter, F.lit(_MARK))
-        digits = F.replace(F.regexp_replace(marked, f"[^{_MARK}]", "0"), F.lit(_MARK), F.lit("1"))
-        return F.conv(digits, 2, 10).cast("bigint")
 
+def _letter_places(text: Column) -> Column:
+    """``map<letter, bits>``: for each letter of a text of one word the places where it stands."""
     letters = F.array_distinct(F.split(text, ""))
-    return F.map_from_arrays(letters, F.transform(letters, bits))
+    return F.map_from_arrays(letters, F.transform(letters, lambda letter: _bits(text, letter)))
 
 
 def _one_word(a: Column, b: Column) -> Column:
@@ -100,18 +93,25 @@ def _one_word(a: Column, b: Column) -> Column:
 
 
 def _many_words(a: Column, b: Column) -> Column:
-    """The same fold over words of 62 bits, the carry handed from word to word."""
-    letters = F.split(a, "")
+    """The same fold over words of 62 bits, the carry handed from word to word.
+
+    The words of a letter are worked out once for ``a``. Their first characters are the lowest bits, so
+    ``b`` is read forwards.
+    """
     word_count = F.ceil(F.length(a) / F.lit(_WORD)).cast("int")
     blocks = F.transform(
         F.sequence(F.lit(0), F.greatest(word_count, F.lit(1)) - 1),
-        lambda k: F.reverse(F.slice(letters, k * _WORD + 1, F.lit(_WORD))),
+        lambda k: F.reverse(F.substr(a, k * _WORD + 1, F.lit(_WORD))),
     )
 
-    masks = F.transform(
-        F.split(b, ""), lambda letter: F.transform(blocks, lambda block: _places(block, letter))
-    )
-    start = F.transform(blocks, lambda block: F.lit(_FULL))
+    def folded(given: Column) -> Column:
+        letters = F.array_distinct(F.split(given["a"], ""))
+        places = F.map_from_arrays(
+            letters, F.transform(letters, lambda letter: F.transform(given["blocks"], lambda block: _bits(block, letter)))
+        )
+        start = F.transform(given["blocks"], lambda block: F.lit(_FULL))
+        masks = _bind(places, lambda at: F.transform(F.split(b, ""), lambda letter: F.try_element_at(at, letter)))
+        return F.aggregate(F.filter(masks, lambda m: m.isNotNull()), start, step)
 
     def step(words, mask):
         def add(acc, pair):
@@ -130,10 +130,10 @@ def _many_words(a: Column, b: Column) -> Column:
         pairs = F.zip_with(words, mask, lambda v, m: F.struct(v.alias("v"), m.alias("m")))
         return F.aggregate(pairs, empty, add, lambda acc: acc["words"])
 
-    words = F.aggregate(masks, start, step)
+    words = _bind(F.struct(a.alias("a"), blocks.alias("blocks")), folded)
     used = F.zip_with(
         words, blocks,
-        lambda v, block: F.size(block) - F.bit_count(v.bitwiseAND(_low_bits(F.size(block)))),
+        lambda v, block: F.length(block) - F.bit_count(v.bitwiseAND(_low_bits(F.length(block)))),
     )
     return F.aggregate(used, F.lit(0), lambda acc, n: acc + n)
 
