@@ -2,18 +2,18 @@
 
 1. Every text becomes its set of word shingles, the set an exact digest and a signature of
    ``CHUNKS * CHUNK`` MinHash values of 8 bits. Equal sets collapse to one representative.
-2. The signature is split into 16 chunks of 6 values. Two signatures that differ in fewer than 32
+2. The signature is split into 19 chunks of 5 values. Two signatures that differ in at most 37
    values have, by pigeonhole, a chunk with at most one difference; so each chunk is indexed under
-   the six keys that leave one of its values out. Such pairs share a key for certain, and pairs
-   further apart nearly always do.
+   the five keys that leave one of its values out. Such pairs share a key for certain.
 3. Documents that share a key and differ in at most ``MAX_DISTANCE`` values are candidates. Within
    a key all are compared with its least member first; keys whose members are not yet in one
    candidate cluster are compared in blocks, and only joins of clusters are emitted.
 4. Each candidate cluster is confirmed on full shingle sets, block against block. A comparison is
    left out only if its two documents are already linked by others, which no class can lose.
 
-At similarity 0.8 a pair differs in 19 of 96 values on average; more than ``MAX_DISTANCE`` = 36
-happens to about 2 such pairs in 100,000, and missing every key to fewer than 1 in 10,000,000.
+The distance threshold is the one that the pigeonhole reaches, so every pair of signatures within it is
+found. At similarity 0.8 a pair differs in 19 of 95 values on average; it differs in more than 37, and is
+then not linked by itself, in about 1 of 100,000 cases (95 draws that differ with probability 0.2).
 
 Null texts count as empty. Empty texts and texts without words are linked with nothing. Rows that
 repeat a document id count as one document, of which the row with the largest set stands for it,
@@ -34,10 +34,10 @@ from songloom.llm.common import components, free_names, hashable, lean, pick, so
 from songloom.llm.words import mix, shingle_sets, word_chunks
 from songloom.plans.staging import stage
 
-CHUNKS, CHUNK, ERRORS = 16, 6, 1
+CHUNKS, CHUNK, ERRORS = 19, 5, 1
 VALUES = CHUNKS * CHUNK
 GUARANTEED = CHUNKS * (ERRORS + 1) - 1  # any pair this near shares a key
-MAX_DISTANCE = 36
+MAX_DISTANCE = GUARANTEED
 PERCENT = 80  # least Jaccard similarity of a link
 BLOCK_ROWS, BLOCK_SHINGLES, KEY_BLOCK = 256, 300_000, 4096
 

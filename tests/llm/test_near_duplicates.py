@@ -1,9 +1,10 @@
 """Near-duplicate classes against all pairs compared by brute force."""
 
 import random
+from math import comb
 
 from songloom.llm.near_duplicates import (
-    CHUNK, CHUNKS, GUARANTEED, VALUES, keep_one_of_each, near_duplicate_classes, signature, signature_keys,
+    CHUNK, CHUNKS, GUARANTEED, MAX_DISTANCE, VALUES, keep_one_of_each, near_duplicate_classes, signature, signature_keys,
 )
 import numpy as np
 
@@ -60,6 +61,13 @@ def test_pairs_in_reach_share_a_key():
     assert all(set(x) & set(y) for x, y in zip(signature_keys(a), signature_keys(b)))
 
 
+def test_the_guarantee_reaches_the_threshold():
+    assert MAX_DISTANCE == GUARANTEED
+    # Links at the least similarity that lie beyond it: the tail of as many draws.
+    tail = sum(comb(VALUES, k) * 0.2**k * 0.8 ** (VALUES - k) for k in range(MAX_DISTANCE + 1, VALUES + 1))
+    assert tail < 2e-5
+
+
 def test_signatures_estimate_similarity():
     r = np.random.default_rng(2)
     differing = []
