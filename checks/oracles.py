@@ -266,6 +266,12 @@ add(
     UNION ALL SELECT NULL, '', '', '', 'x' || CAST(n_nationkey AS VARCHAR) || '.isb.txt' FROM nation
     UNION ALL SELECT CAST(9000000 + r_regionkey AS INT), '', '', '', CAST(9000000 + r_regionkey AS VARCHAR) || '.isb.txt' FROM region""",
 )
+add(
+    "empty_sources",
+    f"""WITH scraped AS ({I.SCRAPED_SONGS}), years AS (SELECT DISTINCT YEAR(o_orderdate)::INT AS year FROM orders),
+    asked AS (SELECT year FROM years UNION ALL SELECT year + 1000 FROM years)
+    SELECT year, NOT EXISTS (SELECT 1 FROM scraped s WHERE s.year = asked.year) AS refused FROM asked""",
+)
 add(
     "run_counters",
     f"""WITH {ROUTED}, done AS ({I.SCRAPED_SONGS}), todo AS (SELECT * FROM routed WHERE isb_id NOT IN (SELECT isb_id FROM done))

@@ -39,7 +39,7 @@ from songloom.operators.web_pages import (
 from songloom.plans.catalogue import build_catalogue
 from songloom.plans.staging import job_folder, stage
 from songloom.sources import answers, csv_sink, store
-from songloom.sources.files import read_song_files, read_table
+from songloom.sources.files import read_song_files, read_table, require_rows
 from songloom.streaming.ingest import ingest_fetches, ingest_pages, log_batch, source_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -306,6 +306,24 @@ def file_scan(spark, sf):
     return parse_songs(read_song_files(spark, folder)).select("isb_id", "film", "singer", "lyrics_itrans", "source_file")
 
 
+@query
+def empty_sources(spark, sf):
+    """Which sources of songs, in which years, are refused because they have no rows."""
+    scraped = I.derive(spark, sf, I.SCRAPED_SONGS)
+    years = [r[0] for r in spark.read.parquet(f"{sf}/orders.parquet").select(F.year("o_orderdate")).distinct().collect()]
+    asked = [(year, shift) for year in sorted(years) for shift in (0, 1000)]
+
+    def refused(year: int) -> bool:
+        try:
+            require_rows(scraped.filter(F.col("year") == year), f"songs of {year}")
+        except ValueError:
+            return True
+        return False
+
+    rows = [(year + shift, refused(year + shift)) for year, shift in asked]
+    return spark.createDataFrame(rows, "year int, refused boolean")
+
+
 @query
 def run_counters(spark, sf):
     """Files, fetches, skipped ids and resolved names of a job, taken while its parts are written."""
