@@ -28,7 +28,7 @@ and the audit one string; it holds the audit, not the texts.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 
 import numpy as np
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from songloom.llm.common import pick, same, sorted_groups
+from songloom.llm.common import pick, same
 from songloom.plans.staging import stage
 
 CELL_BITS = 12
@@ -152,14 +152,6 @@ def closing(state: int) -> tuple[str, int]:
     return letters, state
 
 
-def collapsed(symbols: np.ndarray, lengths: np.ndarray) -> list[tuple[int, int]]:
-    """Neighbouring runs of one symbol made one."""
-    if not len(symbols):
-        return []
-    first = np.flatnonzero(np.r_[True, symbols[1:] != symbols[:-1]])
-    return list(zip(symbols[first].tolist(), np.add.reduceat(lengths, first).tolist()))
-
-
 # --- rows on Spark
 
 
@@ -224,12 +216,56 @@ def _symbol() -> Column:
 LEGAL = {(0, 1), (1, 2), (2, 1)}  # role classes that may follow each other
 
 
-def _runs(group) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols and lengths of a cell's rows: a row's first copy, then its others."""
-    symbols, counts = group["symbol"].to_numpy(), group["n"].to_numpy()
-    pair = np.stack([symbols, np.zeros_like(symbols)], axis=1).ravel()
-    lengths = np.stack([np.ones_like(counts), counts - 1], axis=1).ravel()
-    return pair[lengths > 0].astype(np.int64), lengths[lengths > 0]
+def _cells(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """``((conv_id, cell), rows)`` of a stream that is sorted by them; a cell is all that is held."""
+    key, rows = None, []
+    for batch in batches:
+        for row in zip(*[batch[c].to_pylist() for c in ("conv_id", "cell", *names)]):
+            if row[:2] != key:
+                if rows:
+                    yield key, rows
+                key, rows = row[:2], []
+            rows.append(row[2:])
+    if rows:
+        yield key, rows
+
+
+def _runs(rows: list[tuple]) -> tuple[tuple[int, int], ...]:
+    """``(symbol, length)`` of a cell's rows, equal neighbours made one: a row's first copy, then its others."""
+    runs: list[tuple[int, int]] = []
+    for symbol, n, _ in rows:
+        for found, length in ((symbol, 1), (DEAD, n - 1)):
+            if length and runs and runs[-1][0] == found:
+                runs[-1] = (found, runs[-1][1] + length)
+            elif length:
+                runs.append((found, length))
+    return tuple(runs)
+
+
+SHORT = 32  # runs; what is worked out for so few is kept, since most conversations are short and much alike
+
+
+def _kept_if_short(work: Callable) -> Callable:
+    kept = lru_cache(maxsize=20_000)(work)
+    return lambda runs, *more: (kept if len(runs) <= SHORT else work)(runs, *more)
+
+
+@_kept_if_short
+def _matrix(runs: tuple[tuple[int, int], ...]) -> list[int]:
+    matrix = np.where(np.eye(4, dtype=bool), 0, FAR)
+    for symbol, length in reversed(runs):
+        matrix = crossed(symbol, length, matrix)
+    return matrix.ravel().tolist()
+
+
+@_kept_if_short
+def _ways(runs: tuple[tuple[int, int], ...], to_come: tuple[int, ...], last: bool) -> tuple[list[str], list[int]]:
+    """Letters and next states for each state that a cell may be entered in."""
+    ways = [unrolled(list(runs), p, np.array(to_come)) for p in range(4)]
+    if last:
+        ends = [closing(state) for _, state in ways]
+        ways = [(audit + more, state) for (audit, _), (more, state) in zip(ways, ends)]
+    return [audit for audit, _ in ways], [state for _, state in ways]
 
 
 def _types(rows: DataFrame, column: str) -> tuple[str, pa.DataType]:
@@ -238,26 +274,31 @@ def _types(rows: DataFrame, column: str) -> tuple[str, pa.DataType]:
     return kind.simpleString(), to_arrow_type(kind)
 
 
+def _batch(rows: list[tuple], kinds: tuple, names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+
+BATCH_ROWS = 8192
 CELL_FIELDS = "cell long, symbols array<long>, lengths array<long>, matrix array<long>, first_role int, last_role int, illegal long"
 
 
 def _cell_rows(kind: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for group in sorted_groups(batches, ["conv_id", "cell"]):
-        symbols, lengths = _runs(group)
-        runs = collapsed(symbols, lengths)
-        matrix = np.where(np.eye(4, dtype=bool), 0, FAR)
-        for symbol, length in reversed(runs):
-            matrix = crossed(symbol, length, matrix)
-        roles, counts = group["role_class"].to_numpy(), group["n"].to_numpy()
-        illegal = int((counts - 1).sum()) + sum((p, q) not in LEGAL for p, q in zip(roles[:-1].tolist(), roles[1:].tolist()))
-        yield pa.RecordBatch.from_pydict({
-            "conv_id": pa.array([group["conv_id"][0].as_py()], kind), "cell": pa.array([group["cell"][0].as_py()], pa.int64()),
-            "symbols": pa.array([[s for s, _ in runs]], pa.list_(pa.int64())),
-            "lengths": pa.array([[n for _, n in runs]], pa.list_(pa.int64())),
-            "matrix": pa.array([matrix.ravel().tolist()], pa.list_(pa.int64())),
-            "first_role": pa.array([int(roles[0])], pa.int32()), "last_role": pa.array([int(roles[-1])], pa.int32()),
-            "illegal": pa.array([illegal], pa.int64()),
-        })
+    longs = pa.list_(pa.int64())
+    kinds = (kind, pa.int64(), longs, longs, longs, pa.int32(), pa.int32(), pa.int64())
+    names = ["conv_id", *[part.split()[0] for part in CELL_FIELDS.split(", ")]]
+    out, held = [], 0
+    for (conv, cell), rows in _cells(batches, ("symbol", "n", "role_class")):
+        runs = _runs(rows)
+        roles = [role for _, _, role in rows]
+        illegal = sum(n - 1 for _, n, _ in rows) + sum(pair not in LEGAL for pair in zip(roles, roles[1:]))
+        symbols, lengths = zip(*runs)
+        out.append((conv, cell, symbols, lengths, _matrix(runs), roles[0], roles[-1], illegal))
+        held += len(runs)
+        if held >= BATCH_ROWS:
+            yield _batch(out, kinds, names)
+            out, held = [], 0
+    if out:
+        yield _batch(out, kinds, names)
 
 
 def _backward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,19 +324,15 @@ def _backward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _unroll_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The letters of each cell and where they lead, for each state that it may be entered in."""
     for batch in batches:
-        audits, exits = [], []
         columns = [batch[c].to_pylist() for c in ("symbols", "lengths", "to_come", "last")]
-        for symbols, lengths, to_come, last in zip(*columns):
-            ways = [unrolled(list(zip(symbols, lengths)), p, np.array(to_come)) for p in range(4)]
-            if last:
-                ends = [closing(state) for _, state in ways]
-                ways = [(audit + more, state) for (audit, _), (more, state) in zip(ways, ends)]
-            audits.append([audit for audit, _ in ways])
-            exits.append([state for _, state in ways])
+        # Choices depend on differences of costs only, so like cells are met again.
+        found = [
+            _ways(tuple(zip(symbols, lengths)), _level(np.array(to_come)), last) for symbols, lengths, to_come, last in zip(*columns)
+        ]
         yield (
             batch.drop_columns(["symbols", "lengths", "to_come", "last"])
-            .append_column("audits", pa.array(audits, pa.list_(pa.string())))
-            .append_column("exits", pa.array(exits, pa.list_(pa.int32())))
+            .append_column("audits", pa.array([audits for audits, _ in found], pa.list_(pa.string())))
+            .append_column("exits", pa.array([exits for _, exits in found], pa.list_(pa.int32())))
         )
 
 
@@ -350,34 +387,36 @@ def _edits_of(audit: str, at: int, copies: int) -> tuple[str, int]:
 
 
 def _repaired_rows(kinds: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ("conv_id", "cell", "place", "step", "turn", "edit", "times", "role", "text")
-    for group in sorted_groups(batches, ["conv_id", "cell"]):
-        out, audit, at, state, last = [], "", 0, START, 0
-
-        def write(conv, cell, place, turn, letters, role, text):
-            nonlocal state
-            step = 0
-            while step < len(letters):
-                letter = letters[step]
-                times = len(letters) - step - len(letters[step:].lstrip("D")) if letter == "D" else 1
-                said = role, text
-                if letter != "D":
-                    state = KEEP.get(role[:1], {})[state] if letter == "K" else NEXT[state]
-                    said = (role if letter == "K" else WRITTEN[state], "" if letter == "I" else text)
-                out.append((conv, cell, place, step, None if letter == "I" else turn, letter, times, *said))
-                step += times
-
-        columns = [group[c].to_pylist() for c in ("conv_id", "cell", "place", "turn", "n", "role", "text", "entry", "audit")]
-        for conv, cell, place, turn, n, role, text, entry, letters in zip(*columns):
-            if place < 0:
-                audit, state = letters, entry
-                continue
+    names = ["conv_id", "cell", "place", "step", "turn", "edit", "times", "role", "text"]
+    out, state, held = [], START, 0
+
+    def write(conv, cell, place, turn, letters, role, text):
+        nonlocal state, held
+        step = 0
+        while step < len(letters):
+            letter = letters[step]
+            times = len(letters) - step - len(letters[step:].lstrip("D")) if letter == "D" else 1
+            said = role, text
+            if letter != "D":
+                state = KEEP.get(role[:1], {})[state] if letter == "K" else NEXT[state]
+                said = (role if letter == "K" else WRITTEN[state], "" if letter == "I" else text)
+            out.append((conv, cell, place, step, None if letter == "I" else turn, letter, times, *said))
+            held += 100 + len(said[1])
+            step += times
+
+    for (conv, cell), rows in _cells(batches, ("place", "turn", "n", "role", "text", "entry", "audit")):
+        _, _, _, _, _, state, audit = rows[0]  # the head comes first
+        at, place = 0, 0
+        for place, turn, n, role, text, _, _ in rows[1:]:
             edits, at = _edits_of(audit, at, n)
             write(conv, cell, place, turn, edits, role, text)
-            last = place
-        write(conv, cell, last + 1, None, audit[at:], "", "")
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+        write(conv, cell, place + 1, None, audit[at:], "", "")
+        if held >= 100 * BATCH_ROWS:
+            yield _batch(out, kinds, names)
+            out.clear()
+            held = 0
+    if out:
+        yield _batch(out, kinds, names)
 
 
 def repaired_turns(placed: DataFrame, choices: DataFrame) -> DataFrame:
