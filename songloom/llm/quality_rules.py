@@ -98,13 +98,6 @@ def _both_counts(documents: DataFrame, trusted: DataFrame) -> np.ndarray:
     return counts
 
 
-def log_ratios(documents: DataFrame, trusted: DataFrame) -> np.ndarray:
-    """``log(trusted / raw)`` for each bucket, each multinomial with one count added everywhere."""
-    counts = _both_counts(documents, trusted) + 1
-    raw_share, target_share = counts / counts.sum(axis=1, keepdims=True)
-    return np.log(target_share / raw_share).astype(np.float32)
-
-
 def smoothed_log_ratios(documents: DataFrame, trusted: DataFrame) -> np.ndarray:
     """``log(trusted / raw)`` for each bucket, the trusted texts, part of all, filled up with ``PRIOR`` raw counts.
 

@@ -1,5 +1,6 @@
 """Quality rules against a plain recomputation, and separation of planted junk."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -7,8 +8,9 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from songloom.llm.quality_rules import grams, log_ratios, quality_verdicts
+from songloom.llm.quality_rules import BUCKETS, PRIOR, grams, quality_verdicts, smoothed_log_ratios
 from songloom.llm.words import word_chunks
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -61,15 +63,25 @@ def test_measures_equal_plain_ones(spark, corpus):
 def test_ratios_count_everything(spark):
     texts = ["abcd", "abc", "", "abcdabcd", "é"]
     frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
-    ratios = log_ratios(frame, frame.filter("text = 'abcd'"))
-    buckets = []
+    ratios = smoothed_log_ratios(frame, frame.filter("text = 'abcd'"))
+    each = []
     for _, words in word_chunks(pa.array(texts)):
         found, number = grams(words)
         assert number.tolist() == [2, 1, 0, 6, 0]
-        buckets += found.tolist()
-    raw = np.bincount(buckets, minlength=len(ratios)) + 1.0
-    target = np.bincount(buckets[:2], minlength=len(ratios)) + 1.0
-    assert np.allclose(ratios, np.log(target / target.sum()) - np.log(raw / raw.sum()), atol=1e-5)
+        each += np.split(found, np.cumsum(number)[:-1])
+    raw, target = Counter(np.concatenate(each).tolist()), Counter(each[0].tolist())
+    want = np.zeros(BUCKETS)
+    for bucket, n in raw.items():
+        filled = target[bucket] + PRIOR * n / raw.total()  # trusted counts and as many raw ones as the prior has
+        want[bucket] = math.log(filled / (target.total() + PRIOR)) - math.log(n / raw.total())
+    assert np.allclose(ratios, want, atol=1e-6)
+
+    documents = frame.select(F.hash("text").alias("doc_id"), "text")
+    trusted = documents.filter("text = 'abcd'").select("doc_id")
+    scores = {r.doc_id: r.score for r in quality_verdicts(documents, trusted).collect()}
+    hashes = {r.text: r.doc_id for r in documents.collect()}
+    for text, found in zip(texts, each):
+        assert abs(scores[hashes[text]] - (want[found].mean() if len(found) else 0)) < 1e-6
 
 
 def test_empty_table_and_no_trusted(spark, corpus):
