@@ -3,8 +3,9 @@
 Training counts byte 4-grams for each language. An n-gram belongs to a language if at least one in
 ``1 / SHARE`` of the language's n-grams is it, and it is not ``RATIO`` times rarer there than in the
 language where it is most frequent; shares add up to 1, so a language has at most ``1 / SHARE`` of
-them. One table holds the filters of all languages, bit l of each slot being language l's filter: the
-``and`` of an n-gram's slots is the set of all languages that hold it.
+them. One table holds the filters of 64 languages, each bit of its slots being one language's filter: the
+``and`` of an n-gram's slots is the set of all those languages that hold it. Languages with many n-grams
+share a table, and so do those with few, whose table is as much smaller.
 
 A text is decided by its popcounts: for each language the share of n-grams with its bit, corrected
 for the filter's own rate of false positives. The highest wins, ties going to the smaller name.
@@ -12,8 +13,8 @@ for the filter's own rate of false positives. The highest wins, ties going to th
 N-grams are taken from the text with ASCII letters lower-cased and everything in ASCII that is not a
 letter turned into a space, without n-grams that hold two spaces in a row. Null texts and texts without
 any letter are ``und`` with score 0, and so are all texts when nothing was learned; texts with letters
-but no n-gram known get the language with most training text and score 0. The model is at most
-``SLOTS`` words of 64 languages each, whatever the corpus holds.
+but no n-gram known get the language with most training text and score 0. The tables of the model take at
+most 8 MB for 64 languages, and for stray labels no more than some bytes for each of their n-grams.
 """
 
 from __future__ import annotations
@@ -35,6 +36,10 @@ from songloom.plans.staging import stage
 GRAM = 4
 SHARE, RATIO = 1e-5, 8.0
 SLOTS, HASHES = 1 << 20, 3
+GROUP = 64  # languages that share a table
+SLOTS_PER_GRAM, LEAST_SLOTS = 10, 1 << 8  # of the tables after the first
+HELD_GRAMS = 1 << 23  # n-grams of whole tables that the driver reads at once
+PAIRED = 64  # languages, those with most training text, of which it is learned what they show of each other
 HELD_ENTRIES = 1 << 21  # counts that one training task holds before it sends them on
 UNKNOWN = "und"
 LEAST_SHARE = 0.1  # of a text in the language it says, where nothing was learned of the pair
@@ -115,22 +120,21 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @dataclass
-class LanguageModel:
-    """``table[slot, word]`` has bit ``l % 64`` of word ``l // 64`` set for language ``languages[l]``."""
+class Filters:
+    """Bit b of ``table[slot]`` belongs to language number ``languages[b]``; numbers are ascending."""
 
-    languages: list[str]
+    languages: np.ndarray
     table: np.ndarray
     false_positive: np.ndarray
-    most_trained: str
 
     def positions(self, gram: np.ndarray) -> Iterator[np.ndarray]:
         h = mix(gram.astype(np.uint64) + np.uint64(1))
         for _ in range(HASHES):
-            yield (h & np.uint64(SLOTS - 1)).astype(np.int64)
+            yield (h & np.uint64(len(self.table) - 1)).astype(np.int64)
             h = mix(h)
 
     def masks(self, gram: np.ndarray) -> np.ndarray:
-        """The set of languages that hold each n-gram, 64 to a word."""
+        """The set of languages that hold each n-gram."""
         found = None
         for at in self.positions(gram):
             found = self.table[at] if found is None else found & self.table[at]
@@ -141,13 +145,39 @@ class LanguageModel:
         number = np.bincount(owner, minlength=n)
         masks = self.masks(gram)
         hits = np.zeros((n, len(self.languages)))
-        for l in range(len(self.languages)):
-            bit = (masks[:, l // 64] >> np.uint64(l % 64)) & np.uint64(1)
-            hits[:, l] = np.bincount(owner[bit.astype(bool)], minlength=n)
+        for bit in range(len(self.languages)):
+            has = (masks >> np.uint64(bit)) & np.uint64(1)
+            hits[:, bit] = np.bincount(owner[has.astype(bool)], minlength=n)
         rate = hits / np.maximum(number, 1)[:, None]
         return np.clip((rate - self.false_positive) / (1 - self.false_positive), 0, 1)
 
 
+@dataclass
+class LanguageModel:
+    """Languages by name, the numbers of those with most training text, and the filters of all."""
+
+    languages: list[str]
+    most_trained: list[int]
+    filters: list[Filters]
+
+    def best(self, gram: np.ndarray, owner: np.ndarray, n: int, said: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For each text the language with the highest share, that share, the share of language number
+        ``said`` (NaN if negative), and the shares of the most trained languages."""
+        best, score = np.zeros(n, np.int64), np.full(n, -1.0)
+        claimed, shown = np.full(n, np.nan), np.zeros((n, len(self.most_trained)))
+        for part in self.filters:
+            shares = part.shares(gram, owner, n)
+            high, at = shares.max(axis=1), part.languages[shares.argmax(axis=1)]
+            better = (high > score) | ((high == score) & (at < best))
+            best[better], score[better] = at[better], high[better]
+            bit = np.minimum(np.searchsorted(part.languages, said), len(part.languages) - 1)
+            here = np.flatnonzero(part.languages[bit] == said)
+            claimed[here] = shares[here, bit[here]]
+            _, paired, bits = np.intersect1d(self.most_trained, part.languages, return_indices=True)
+            shown[:, paired] = shares[:, bits]
+        return best, score, claimed, shown
+
+
 def train(documents: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel | None:
     """A model of every row that has a language; None if there is none."""
     rows = pick(documents, text=text_col, lang=lang_col).filter("lang is not null")
@@ -157,52 +187,96 @@ def train(documents: DataFrame, text_col: str = "text", lang_col: str = "lang")
     shares = counts.join(totals, "lang").withColumn("share", F.col("n") / F.col("total"))
     frequent = shares.filter(F.col("share") >= SHARE)
     most = frequent.groupBy("gram").agg(F.max("share").alias("most"))
-    own = frequent.join(most, "gram").filter(F.col("share") * RATIO >= F.col("most")).select("lang", "gram")
-    sizes = {r["lang"]: r["total"] for r in totals.collect()}
+    own = stage(frequent.join(most, "gram").filter(F.col("share") * RATIO >= F.col("most")).select("lang", "gram"))
+    sizes = {r["lang"]: r["total"] for r in totals.collect()}  # one row for each language
     if not sizes:
         return None
     languages = sorted(sizes)
-    number = {lang: l for l, lang in enumerate(languages)}
-    table = np.zeros((SLOTS, -(-len(languages) // 64)), np.uint64)
-    model = LanguageModel(languages, table, np.zeros(len(languages)), min(languages, key=lambda x: (-sizes[x], x)))
-    chosen = own.toArrow()  # at most 1 / SHARE rows for each language
-    gram, lang = chosen["gram"].to_numpy(), chosen["lang"].to_pylist()
-    l = np.array([number[x] for x in lang], np.int64)
-    for at in model.positions(gram):
-        np.bitwise_or.at(table, (at, l // 64), np.uint64(1) << (l % 64).astype(np.uint64))
-    for k in range(len(languages)):
-        filled = ((table[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)).mean()
-        model.false_positive[k] = min(filled**HASHES, 0.999)
+    held = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    most_trained = sorted(range(len(languages)), key=lambda l: (-sizes[languages[l]], l))[:PAIRED]
+    model = LanguageModel(languages, most_trained, _empty_filters([held.get(lang, 0) for lang in languages]))
+    _fill(model, own, held)
+    for part in model.filters:
+        for bit in range(len(part.languages)):
+            filled = ((part.table >> np.uint64(bit)) & np.uint64(1)).mean()
+            part.false_positive[bit] = min(filled**HASHES, 0.999)
     return model
 
 
-def language_of(spark: SparkSession, model: LanguageModel | None) -> Callable[[Column], Column]:
-    """A column function of texts: ``struct(lang_pred, score, shares)``, from the text alone.
-
-    ``shares`` has the corrected share of each of the model's languages, whose largest is the score.
+def _empty_filters(held: list[int]) -> list[Filters]:
+    """Tables for languages that hold so many n-grams, those with most of them first."""
+    order, filters = np.argsort(-np.array(held), kind="stable"), []
+    for begin in range(0, len(order), GROUP):
+        own, slots = np.sort(order[begin : begin + GROUP]), SLOTS
+        if begin:
+            wanted = max(LEAST_SLOTS, SLOTS_PER_GRAM * held[order[begin]])
+            slots = min(SLOTS, 1 << (wanted - 1).bit_length())
+        filters.append(Filters(own, np.zeros(slots, np.uint64), np.zeros(len(own))))
+    return filters
+
+
+def _fill(model: LanguageModel, own: DataFrame, held: dict[str, int]) -> None:
+    """Enter all n-grams; the driver reads those of a few tables at once, at most ``1 / SHARE`` for a language."""
+    places, read, size = [], 0, 0
+    for f, part in enumerate(model.filters):
+        n = sum(held.get(model.languages[l], 0) for l in part.languages)
+        if size and size + n > HELD_GRAMS:
+            read, size = read + 1, 0
+        size += n
+        places += [(model.languages[l], read, f, bit) for bit, l in enumerate(part.languages)]
+    placed = own.sparkSession.createDataFrame(places, "lang string, read int, filter int, bit int")
+    numbers = stage(own.join(placed, "lang").select("read", "gram", "filter", "bit"))
+    for r in range(read + 1):
+        chosen = numbers.filter(F.col("read") == r).select("gram", "filter", "bit").toArrow()
+        gram, which, bit = (chosen[c].to_numpy() for c in ("gram", "filter", "bit"))
+        order = np.argsort(which, kind="stable")
+        ends = np.searchsorted(which[order], np.arange(len(model.filters) + 1))
+        for f, part in enumerate(model.filters):
+            at = order[ends[f] : ends[f + 1]]
+            for slot in part.positions(gram[at]):
+                np.bitwise_or.at(part.table, slot, np.uint64(1) << bit[at].astype(np.uint64))
+
+
+PREDICTED = "lang_pred string, score double"
+
+
+def language_of(
+    spark: SparkSession, model: LanguageModel | None, more: bool = False
+) -> Callable[[Column, Column], Column]:
+    """A column function of texts and labels: ``struct(lang_pred, score)``, from the text alone.
+
+    With ``more`` it adds ``number``, that of the language found, ``claimed``, the share of the language that
+    the label names, null if nothing was learned of it, and ``shown``, those of the most trained languages.
     """
-    shared = spark.sparkContext.broadcast(model) if model else None  # 8 MB for 64 languages
+    shared = spark.sparkContext.broadcast(model) if model else None  # 8 MB for 64 languages, less for stray ones
+    numbers = {lang: l for l, lang in enumerate(model.languages)} if model and more else {}
 
-    @F.arrow_udf("lang_pred string, score double, shares array<double>")
-    def predict(text: pa.Array) -> pa.Array:
+    @F.arrow_udf(PREDICTED + (", number int, claimed double, shown array<double>" if more else ""))
+    def predict(text: pa.Array, label: pa.Array) -> pa.Array:
         known = shared.value if shared is not None else None
-        names, scores, all_shares = [], [np.zeros(0)], []
+        parts = []
         for row, words in word_chunks(text):
             n = len(words.begin)
-            lettered = np.array([bool(t) and _LETTER.search(t) is not None for t in text.slice(row, n).to_pylist()])
-            name, score, shares = np.full(n, UNKNOWN, object), np.zeros(n), np.zeros((n, 0))
+            lettered = np.array([bool(t) and _LETTER.search(t) is not None for t in text.slice(row, n).to_pylist()], bool)
+            name, score, at = np.full(n, UNKNOWN, object), np.zeros(n), np.full(n, -1)
+            claimed, shown = np.full(n, np.nan), np.zeros((n, 0))
             if known is not None:
-                shares = known.shares(*grams(words), n)
-                score = np.where(lettered, shares.max(axis=1), 0.0)
-                name[lettered] = np.array(known.languages, object)[shares.argmax(axis=1)][lettered]
-                name[lettered & (score <= 0)] = known.most_trained
-            names += name.tolist()
-            scores.append(score)
-            all_shares += shares.tolist()
-        parts = [pa.array(names, pa.string()), pa.array(np.concatenate(scores)), pa.array(all_shares, pa.list_(pa.float64()))]
+                said = np.array([numbers.get(x, -1) for x in label.slice(row, n).to_pylist()], np.int64)
+                at, high, claimed, shown = known.best(*grams(words), n, said)
+                score = np.where(lettered, high, 0.0)
+                at = np.where(score > 0, at, known.most_trained[0])
+                name[lettered] = np.array(known.languages, object)[at][lettered]
+            columns = [pa.array(name, pa.string()), pa.array(score)]
+            if more:
+                columns += [pa.array(at, pa.int32()), pa.array(claimed, from_pandas=True)]
+                columns.append(pa.array(shown.tolist(), pa.list_(pa.float64())))
+            parts.append(pa.StructArray.from_arrays(columns, names))
         give_back_memory()
-        return pa.StructArray.from_arrays(parts, ["lang_pred", "score", "shares"])
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
+    names = ["lang_pred", "score", "number", "claimed", "shown"][: 5 if more else 2]
+    types = [pa.string(), pa.float64(), pa.int32(), pa.float64(), pa.list_(pa.float64())]
+    kind = pa.struct(list(zip(names, types)))
     return predict
 
 
@@ -213,34 +287,37 @@ def identify_languages(
     known = documents.filter(in_training(F.col(f"`{id_col}`")))
     language = language_of(documents.sparkSession, train(known, text_col, lang_col))
     given = pick(documents, doc_id=id_col, text=text_col)
-    found = given.select("doc_id", (~in_training(F.col("doc_id"))).alias("held_out"), language(F.col("text")).alias("p"))
+    predicted = language(F.col("text"), F.lit(None).cast("string")).alias("p")
+    found = given.select("doc_id", (~in_training(F.col("doc_id"))).alias("held_out"), predicted)
     return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
 def shown_by_itself(
-    known: DataFrame, model: LanguageModel, language: Callable[[Column], Column], text_col: str, lang_col: str
+    known: DataFrame, model: LanguageModel, language: Callable[[Column, Column], Column], text_col: str, lang_col: str
 ) -> np.ndarray:
     """``least[p, l]``: a text found to be in language p that says l shows some of l from this share on.
 
-    Filters overlap, so texts in p show some of l by themselves. Of the rows that say p and are found to be in p,
-    ``BY_ITSELF`` show less of l than this. For languages too close to tell apart it is half of what is usual for
-    texts in l, and without such rows of p or l it is ``LEAST_SHARE``.
+    Both are places among the model's ``PAIRED`` most trained languages. Filters overlap, so texts in p show some
+    of l by themselves. Of the rows that say p and are found to be in p, ``BY_ITSELF`` show less of l than this.
+    For languages too close to tell apart it is half of what is usual for texts in l, and without such rows of p
+    or l it is ``LEAST_SHARE``.
     """
     rows = pick(known, text=text_col, lang=lang_col).filter("lang is not null")
-    found = rows.select("lang", language(F.col("text")).alias("p")).filter("p.lang_pred = lang and p.score > 0")
-    each = found.select("lang", F.posexplode("p.shares").alias("l", "share"))
-    bins = each.groupBy("lang", "l", F.floor(F.col("share") * BINS).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    pair = Window.partitionBy("lang", "l")  # at most BINS + 1 rows
+    found = rows.select("lang", language(F.col("text"), F.col("lang")).alias("p")).filter("p.lang_pred = lang and p.score > 0")
+    found = found.filter(F.col("p.number").isin(model.most_trained))
+    each = found.select("p.number", F.posexplode("p.shown").alias("l", "share"))
+    bins = each.groupBy("number", "l", F.floor(F.col("share") * BINS).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    pair = Window.partitionBy("number", "l")  # at most BINS + 1 rows
     upto = F.sum("n").over(pair.orderBy("bin")) / F.sum("n").over(pair)
-    quantiles = bins.withColumn("upto", upto).groupBy("lang", "l").agg(
+    quantiles = bins.withColumn("upto", upto).groupBy("number", "l").agg(
         F.min(F.when(F.col("upto") >= BY_ITSELF, F.col("bin"))).alias("high"),
         F.min(F.when(F.col("upto") >= 0.5, F.col("bin"))).alias("usual"),
     )
-    n, number = len(model.languages), {lang: l for l, lang in enumerate(model.languages)}
+    n, place = len(model.most_trained), {l: k for k, l in enumerate(model.most_trained)}
     high, usual = np.full((n, n), np.nan), np.full(n, np.nan)
-    for r in quantiles.collect():  # one row for each pair of languages
-        high[number[r["lang"]], r["l"]] = (r["high"] + 1) / BINS
-        if number[r["lang"]] == r["l"]:
+    for r in quantiles.collect():  # one row for each pair of PAIRED languages
+        high[place[r["number"]], r["l"]] = (r["high"] + 1) / BINS
+        if place[r["number"]] == r["l"]:
             usual[r["l"]] = r["usual"] / BINS
     least = np.minimum(high, usual / 2)
     least[np.isnan(least)] = LEAST_SHARE
@@ -255,20 +332,22 @@ def identified_documents(
 
     A text goes if it is ``und``, or if it shows no more of the language it says than texts in the language
     found show of that by themselves (``shown_by_itself``). So a text with long quotations in another language
-    stays, and so does one that shows nothing of any language or says one that nothing was learned of.
+    stays, and so does one that shows nothing of any language or says one that nothing was learned of. Where
+    either language is not among the ``PAIRED`` most trained ones, the share asked for is ``LEAST_SHARE``.
     """
     known = documents.filter(in_training(F.col(f"`{id_col}`")))
     model = train(known, text_col, lang_col)
-    language = language_of(documents.sparkSession, model)
+    language = language_of(documents.sparkSession, model, more=True)
     name, = free_names(documents, "_language")
     found, said = F.col(name), F.col(f"`{lang_col}`")
     foreign = F.lit(False)
     if model:
-        names = F.array(*[F.lit(x) for x in model.languages])
+        paired = F.array(*[F.lit(model.languages[l]) for l in model.most_trained])
         least = shown_by_itself(known, model, language, text_col, lang_col)
         limits = F.from_json(F.lit(json.dumps(least.ravel().tolist())), "array<double>")
-        place, at = [F.nullif(F.array_position(names, x), F.lit(0)).cast("int") - 1 for x in (said, found["lang_pred"])]
-        below = F.get(found["shares"], place) < F.get(limits, at * len(model.languages) + place)
-        foreign = F.coalesce(below & (found["score"] > 0), F.lit(False))
-    marked = documents.withColumn(name, language(F.col(f"`{text_col}`")))
+        of, at = [F.nullif(F.array_position(paired, x), F.lit(0)).cast("int") - 1 for x in (said, found["lang_pred"])]
+        limit = F.get(limits, at * len(model.most_trained) + of)
+        other = F.when(said == found["lang_pred"], 0.0).otherwise(LEAST_SHARE)
+        foreign = F.coalesce((found["claimed"] < F.coalesce(limit, other)) & (found["score"] > 0), F.lit(False))
+    marked = documents.withColumn(name, language(F.col(f"`{text_col}`"), said.cast("string")))
     return marked.filter((found["lang_pred"] != UNKNOWN) & ~foreign).drop(name)
