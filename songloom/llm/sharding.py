@@ -41,19 +41,22 @@ def with_slots(rows: DataFrame, order: list[str], shard: str = "shard", slot: st
 
 
 def sharded_documents(
-    documents: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text"
+    documents: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text",
+    weights: list[float] | None = None, grown_weight: float = 1.0,
 ) -> DataFrame:
-    """``(doc_id, size, text_crc32, law, shard, slot, grown_shard)`` with shards of equal weight.
+    """``(doc_id, size, text_crc32, law, shard, slot, grown_shard)``, one shard for each of the ``weights``.
 
-    ``grown_shard`` is the place with one more shard. A null text has no bytes.
+    Without ``weights`` there are ``shards`` of equal weight. ``grown_shard`` is the place with one more shard,
+    of ``grown_weight``. A null text has no bytes.
     """
+    weights = [1.0] * shards if weights is None else list(weights)
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     rows = pick(documents, doc_id=id_col, text=text_col).select(
         "doc_id",
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        rendezvous_shard(["doc_id"], [1.0] * shards).alias("shard"),
-        rendezvous_shard(["doc_id"], [1.0] * (shards + 1)).alias("grown_shard"),
+        rendezvous_shard(["doc_id"], weights).alias("shard"),
+        rendezvous_shard(["doc_id"], [*weights, grown_weight]).alias("grown_shard"),
     )
     placed = with_slots(rows, ["doc_id", "text_crc32", "size"])
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")

@@ -1,11 +1,13 @@
 """Sharding laws: balance by weight, few moves, gapless slots."""
 
+import math
 import zlib
 from collections import Counter
 
+import xxhash
 from pyspark.sql import functions as F
 
-from songloom.llm.sharding import rendezvous_shard, sharded_documents
+from songloom.llm.sharding import SEED, rendezvous_shard, sharded_documents
 
 
 def test_weights_are_met(spark):
@@ -37,6 +39,31 @@ def test_slots_are_gapless_and_sizes_count_bytes(spark):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def plain_shard(key, weights):
+    """The draws in plain Python: the column function hashes value after value, each seeded by the one before."""
+    draws = []
+    for shard, weight in enumerate(weights):
+        h = 42
+        for value, size in ((SEED, 4), (shard, 4), (key, 8)):
+            if value is not None:
+                h = xxhash.xxh64_intdigest(value.to_bytes(size, "little", signed=True), h)
+        draws.append((-math.log(((h >> 11) + 0.5) / (1 << 53)) / weight, shard))
+    return min(draws)[1]
+
+
+def test_draws_against_plain_python_and_weights(spark):
+    keys = [None, 0, -1, -(2**63), 2**63 - 1, *range(1, 30000, 7)]
+    frame = spark.createDataFrame([(k, "x") for k in keys], "doc_id long, text string")
+    weights = [1.0, 0.5, 4.0, 2.5]
+    got = sharded_documents(frame, weights=weights, grown_weight=2.0).collect()
+    assert len(got) == len(keys)
+    for r in got:
+        assert (r.shard, r.grown_shard) == (plain_shard(r.doc_id, weights), plain_shard(r.doc_id, [*weights, 2.0]))
+    assert all(r.grown_shard in (r.shard, 4) for r in got)
+    counts = Counter(r.shard for r in got)
+    assert all(abs(counts[s] / len(keys) - w / 8) < 0.03 for s, w in enumerate(weights))
+
+
 def test_empty_table(spark):
     assert sharded_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
