@@ -1,14 +1,18 @@
 """The ordinal model on planted faults it has not seen, and its gradient."""
 
+import math
 import random
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from songloom.llm import quality_model
 from songloom.llm.quality_model import (
-    OrdinalModel, fit_ordinal, graded_quality, grades_of_labels, selected_documents,
+    OrdinalModel, features, fit_ordinal, graded_quality, grades_of_labels, selected_documents,
 )
+from songloom.llm.words import word_chunks
 
 
 @pytest.fixture(scope="module")
@@ -65,6 +69,67 @@ def test_weights_follow_the_grade():
     assert np.all(np.diff(model.thresholds) > 0)
 
 
+def plain_features(text):
+    """The features of a text in plain Python, by what they stand for and not by number."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lowered = "".join(
+        c.lower() if "A" <= c <= "Z" or "\xc0" <= c <= "\xde" and c != "\xd7" else c if c.isascii() and c.isalpha() or ord(c) > 127 else " "
+        for c in text
+    )
+    kinds = {**{c: "A" for c in range(65, 91)}, **{c: "0" for c in range(48, 58)}, **{c: "a" for c in [*range(97, 123), *range(128, 256)]}}
+    ends = {("end", *[kinds.get(c, chr(c)) for c in w.encode()[-3:]]) for w in words}
+    folded = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in words]
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    inside = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(5)}
+    counts = [len(inside), sum(a == b for a, b in zip(folded, folded[1:]))]
+    levels = {(k, l) for k, c in enumerate(counts) for l in range(1, 1 + math.ceil(math.log2(1 + 100 * c / max(1, len(words)))))}
+    return {("word", w) for w in lowered.split()} | ends | levels
+
+
+def test_features_against_plain_python():
+    r = random.Random(6)
+    parts = ["the", "The", "cat9", "don't", "$$$", "É", "étÉ×", "a.b", "12,5", "日本", "x"]
+    texts = [None, "", " \n", "a b c d e a b c d e f", "no " * 30]
+    texts += ["".join(r.choice(parts) + r.choice(" \n\t") for _ in range(r.randint(1, 60))) for _ in range(300)]
+    found, want = [], [plain_features(t or "") for t in texts]
+    for row, words in word_chunks(pa.array(texts, pa.string())):
+        owner, feature = features(words)
+        found += [set(feature[owner == k].tolist()) for k in range(len(words.begin))]
+    assert [len(f) for f in found] == [len(w) for w in want]
+    for _ in range(3000):
+        i, j = r.randrange(len(texts)), r.randrange(len(texts))
+        assert len(found[i] & found[j]) == len(want[i] & want[j])
+
+
+def test_loss_and_gradient_against_plain_python(monkeypatch):
+    r = np.random.default_rng(12)
+    grade = r.integers(0, 4, 200)
+    owner = np.repeat(np.arange(200), 3)
+    feature = (r.integers(0, 6, 600) + 10 * (r.random(600) < 0.5) * grade[owner]).astype(np.int32)
+    pairs = np.unique(np.c_[owner, feature], axis=0)
+    owner, feature = pairs[:, 0], pairs[:, 1].astype(np.int32)
+    seen = []
+    monkeypatch.setattr(quality_model, "_minimum", lambda loss, x, steps: seen.append((loss, x)) or x)
+    fit_ordinal(owner, feature, grade, 4)
+    loss, x = seen[0]
+    x = x + 0.3 * r.normal(size=len(x))
+    scale = quality_model._scales(owner, feature, grade == 3)
+    names = [f for f in np.unique(feature) if scale[f]]
+    k = len(names)
+    cuts = [-math.inf, x[k], x[k] + math.exp(x[k + 1]), x[k] + math.exp(x[k + 1]) + math.exp(x[k + 2]), math.inf]
+    counts, value = np.bincount(grade), [0.0] * 200
+    for o, f in pairs:
+        value[o] += x[names.index(f)] * scale[f] if f in names else 0.0
+    below = lambda t, v: 1 / (1 + math.exp(min(700, v - t)))
+    weight = [counts[g] ** -0.5 for g in grade]
+    plain = sum(-w * math.log(below(cuts[g + 1], v) - below(cuts[g], v)) for w, g, v in zip(weight, grade, value)) / sum(weight)
+    plain += quality_model.RIDGE / 2 * sum(c * c for c in x[:k])
+    assert k > 5 and np.isclose(loss(x)[0], plain, rtol=1e-9)
+    step = 1e-6 * np.eye(len(x))
+    numeric = [(loss(x + d)[0] - loss(x - d)[0]) / 2e-6 for d in step]
+    assert np.allclose(loss(x)[1], numeric, atol=1e-6)
+
+
 def test_nothing_to_learn_from(spark, corpus):
     docs = corpus[0]
     none = spark.createDataFrame([], "doc_id long, grade int")
