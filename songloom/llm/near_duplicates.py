@@ -15,6 +15,11 @@ The distance threshold is the one that the pigeonhole reaches, so every pair of
 found. At similarity 0.8 a pair differs in 19 of 95 values on average; it differs in more than 37, and is
 then not linked by itself, in about 1 of 100,000 cases (95 draws that differ with probability 0.2).
 
+``exact=True`` finds those links too. Two sets that similar share one of the first shingles of each, rare
+ones first, so many that the rest alone can't reach the threshold. Documents of different classes that share
+such a shingle, and whose sizes and bitmaps leave room for a link, join their classes to clusters, which are
+confirmed as above without a look at signatures.
+
 Null texts count as empty. Empty texts and texts without words are linked with nothing. Rows that
 repeat a document id count as one document, of which the row with the largest set stands for it,
 here as in the documents kept; rows without an id are left out. Ids are whole numbers. Any number of copies and any length are handled alike.
@@ -22,7 +27,7 @@ here as in the documents kept; rows without an id are left out. Ids are whole nu
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -40,6 +45,7 @@ GUARANTEED = CHUNKS * (ERRORS + 1) - 1  # any pair this near shares a key
 MAX_DISTANCE = GUARANTEED
 PERCENT = 80  # least Jaccard similarity of a link
 BLOCK_ROWS, BLOCK_SHINGLES, KEY_BLOCK = 256, 300_000, 4096
+BITMAP = 4096  # bits of a set's bitmap in the exact mode
 
 _random = np.random.default_rng(8)
 _FACTORS = (_random.integers(0, 1 << 31, VALUES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -99,7 +105,7 @@ def _full_sets(width: int):
             batch = batch.filter(pa.array(fresh, pa.bool_()))
             for row, words in word_chunks(batch["text"]):
                 sets = shingle_sets(words, width)
-                kept = {c: batch[c].slice(row, len(sets)) for c in ("doc", "cluster", "blocks", "block", "sig")}
+                kept = {c: batch[c].slice(row, len(sets)) for c in ("doc", "label", "cluster", "blocks", "block", "sig")}
                 yield pa.RecordBatch.from_pydict(kept | {"shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
 
     return rows
@@ -119,12 +125,15 @@ def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"doc": batch["doc"], "keys": lists})
 
 
-@lean
-def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            near = (_bytes(batch["sig_a"]) != _bytes(batch["sig_b"])).sum(axis=1) <= MAX_DISTANCE
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(near))
+def _near_pairs(distance: int):
+    @lean
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                near = (_bytes(batch["sig_a"]) != _bytes(batch["sig_b"])).sum(axis=1) <= distance
+                yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(near))
+
+    return rows
 
 
 class _Sets:
@@ -156,48 +165,82 @@ def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(block == first), np.flatnonzero(block == second)
 
 
-@lean
-def _cluster_joins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each block pair under one key: edges that join labels with a pair near enough."""
-    for group in sorted_groups(batches, ["key", "i", "j"]):
-        label, signatures = group["label"].to_numpy(), _bytes(group["sig"])
-        names, at = np.unique(label, return_inverse=True)
-        if len(names) < 2:
-            continue
-        joined, (left, right), found = _Sets(len(names)), _sides(group), []
-        for i in left:
-            open_ = right[joined.roots()[at[right]] != joined.find(at[i])]
-            near = open_[(signatures[open_] != signatures[i]).sum(axis=1) <= MAX_DISTANCE]
-            found += [(names[at[i]], names[at[j]]) for j in near if joined.join(at[i], at[j])]
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+def _label_joins(near: Callable[[pa.Table], Callable[[int, np.ndarray], np.ndarray]]):
+    """Of each block pair under one key: edges that join labels with a pair near enough.
 
+    ``near`` makes of a group a function that tells which rows are near a given one.
+    """
 
-@lean
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each block pair of one cluster: links that hold on full sets, as few as connect as much."""
-    for group in sorted_groups(batches, ["cluster", "i", "j"]):
-        doc, signatures = group["doc"].to_numpy(), _bytes(group["sig"])
-        sets = [np.frombuffer(s, np.uint64) for s in group["shingles"].to_pylist()]
-        sizes = np.array([len(s) for s in sets])
-        joined, (left, right), found = _Sets(len(doc)), _sides(group), []
-        values = np.concatenate([sets[j] for j in right])
-        owner = np.repeat(right, sizes[right])
-        for i in left:
-            open_ = right[joined.roots()[right] != joined.find(i)]
-            open_ = open_[(signatures[open_] != signatures[i]).sum(axis=1) <= MAX_DISTANCE]
-            if not len(open_):
+    @lean
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, ["key", "i", "j"]):
+            names, at = np.unique(group["label"].to_numpy(), return_inverse=True)
+            if len(names) < 2:
                 continue
-            if 4 * len(open_) > len(right):
-                place = np.searchsorted(sets[i], values)
-                place[place == sizes[i]] = 0
-                shared = np.bincount(owner[sets[i][place] == values], minlength=len(doc))[open_]
-            else:
-                shared = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for j in open_])
-            union = sizes[i] + sizes[open_] - shared
-            found += [(doc[i], doc[j]) for j in open_[100 * shared >= PERCENT * union] if joined.join(i, j)]
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+            near_to = near(group)
+            joined, (left, right), found = _Sets(len(names)), _sides(group), []
+            for i in left:
+                open_ = right[joined.roots()[at[right]] != joined.find(at[i])]
+                near_ones = open_[near_to(i, open_)]
+                found += [(names[at[i]], names[at[j]]) for j in near_ones if joined.join(at[i], at[j])]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+    return rows
+
+
+def _by_signature(distance: int):
+    def near(group: pa.Table):
+        signatures = _bytes(group["sig"])
+        return lambda i, others: (signatures[others] != signatures[i]).sum(axis=1) <= distance
+
+    return near
+
+
+def _by_bitmap(group: pa.Table):
+    """A link can't be ruled out: each bit that one set has alone is a shingle that the other lacks."""
+    sizes, bits = group["n"].to_numpy(), _bytes(group["bits"]).copy().view(np.uint64)
+
+    def near_to(i: int, others: np.ndarray) -> np.ndarray:
+        alone = np.bitwise_count(bits[i] & ~bits[others]).sum(axis=1)
+        lacking = np.bitwise_count(~bits[i] & bits[others]).sum(axis=1)
+        shared = np.minimum(sizes[i] - alone.astype(np.int64), sizes[others] - lacking.astype(np.int64))
+        return 100 * shared >= PERCENT * (sizes[i] + sizes[others] - shared)
+
+    return near_to
+
+
+def _confirmed(distance: int):
+    """Of each block pair of one cluster: links that hold on full sets, as few as connect different labels."""
+
+    @lean
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, ["cluster", "i", "j"]):
+            doc, signatures = group["doc"].to_numpy(), _bytes(group["sig"])
+            sets = [np.frombuffer(s, np.uint64) for s in group["shingles"].to_pylist()]
+            sizes = np.array([len(s) for s in sets])
+            joined, (left, right), found = _Sets(len(doc)), _sides(group), []
+            _, first, at = np.unique(group["label"].to_numpy(), return_index=True, return_inverse=True)
+            joined.up = first[at]
+            values = np.concatenate([sets[j] for j in right]) if len(right) else np.zeros(0, np.uint64)
+            owner = np.repeat(right, sizes[right])
+            for i in left:
+                open_ = right[joined.roots()[right] != joined.find(i)]
+                open_ = open_[(signatures[open_] != signatures[i]).sum(axis=1) <= distance]
+                if not len(open_):
+                    continue
+                if 4 * len(open_) > len(right):
+                    place = np.searchsorted(sets[i], values)
+                    place[place == sizes[i]] = 0
+                    shared = np.bincount(owner[sets[i][place] == values], minlength=len(doc))[open_]
+                else:
+                    shared = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for j in open_])
+                union = sizes[i] + sizes[open_] - shared
+                found += [(doc[i], doc[j]) for j in open_[100 * shared >= PERCENT * union] if joined.join(i, j)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+    return rows
 
 
 def _block_pairs(rows: DataFrame) -> DataFrame:
@@ -208,17 +251,23 @@ def _block_pairs(rows: DataFrame) -> DataFrame:
 
 
 def near_duplicate_classes(
-    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, exact: bool = False,
+    distance: int = MAX_DISTANCE,
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row for each distinct non-null id.
 
     ``component_id`` is the least id reachable over links of similarity 0.8 or more between sets of
-    ``width``-word shingles; the document with that id is the one kept.
+    ``width``-word shingles; the document with that id is the one kept. ``distance``, at most ``GUARANTEED``, is
+    the number of values in which signatures of a link may differ; with ``exact`` no link depends on it.
     """
-    return _classes(documents, id_col, text_col, width).drop("digest")
+    if distance > GUARANTEED:
+        raise ValueError(f"pairs that differ in more than {GUARANTEED} values need not share a key")
+    return _classes(documents, id_col, text_col, width, exact, distance).drop("digest")
 
 
-def _classes(documents: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+def _classes(
+    documents: DataFrame, id_col: str, text_col: str, width: int, exact: bool = False, distance: int = MAX_DISTANCE
+) -> DataFrame:
     """The classes with a digest of the text that stands for each id."""
     given = pick(documents, doc=id_col, text=text_col).filter("doc is not null")
     given = given.select(F.col("doc").cast("long").alias("doc"), "text", F.xxhash64("text").alias("digest"))
@@ -231,7 +280,10 @@ def _classes(documents: DataFrame, id_col: str, text_col: str, width: int) -> Da
     members = known.select("doc", "n", "digest", F.coalesce("rep", "doc").alias("rep"))
     reps = known.filter("doc = rep").select("doc", "n", "d1", "d2", "sig", "digest", "copies")
 
-    label = components(_links(given, reps, width))
+    clusters = _candidate_clusters(reps, distance)
+    label = components(_links(given, reps.withColumn("label", F.col("doc")), clusters, width, distance))
+    if exact:
+        label = _with_all_links(given, reps, label, width)
     final = members.join(label, members["rep"] == label["node"], "left")
     component = F.coalesce("label", "rep")
     return final.select(
@@ -240,21 +292,66 @@ def _classes(documents: DataFrame, id_col: str, text_col: str, width: int) -> Da
     )
 
 
-def _links(given: DataFrame, reps: DataFrame, width: int) -> DataFrame:
-    """Confirmed links that connect all representatives that any links connect."""
-    clusters = _candidate_clusters(reps)
+def _links(given: DataFrame, reps: DataFrame, clusters: DataFrame, width: int, distance: int) -> DataFrame:
+    """Confirmed links that connect all representatives of a cluster that any links connect, given their labels."""
     size = F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("n") / BLOCK_SHINGLES)
     placed = reps.join(clusters, "doc")
     blocks = placed.groupBy("cluster").agg(F.ceil(size).cast("int").alias("blocks"))
     wanted = placed.join(blocks, "cluster").withColumn("block", F.pmod(F.hash("doc"), F.col("blocks")))
-    texts = given.join(wanted, ["doc", "digest"]).select("doc", "text", "copies", "cluster", "blocks", "block", "sig")
-    schema = "doc long, cluster long, blocks int, block int, sig binary, shingles binary"
+    texts = given.join(wanted, ["doc", "digest"])
+    texts = texts.select("doc", "text", "copies", "label", "cluster", "blocks", "block", "sig")
+    schema = "doc long, label long, cluster long, blocks int, block int, sig binary, shingles binary"
     met = _block_pairs(texts.mapInArrow(_full_sets(width), schema))
     dealt = met.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    return dealt.mapInArrow(_confirmed, "a long, b long")
+    return dealt.mapInArrow(_confirmed(distance), "a long, b long")
 
 
-def _candidate_clusters(reps: DataFrame) -> DataFrame:
+def _set_lists(width: int):
+    @lean
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, words in word_chunks(batch["text"]):
+                sets, bits = shingle_sets(words, width), []
+                for s in sets:
+                    held = np.zeros(BITMAP, np.uint8)
+                    held[s >> np.uint64(52)] = 1
+                    bits.append(np.packbits(held).tobytes())
+                yield pa.RecordBatch.from_pydict({
+                    "doc": batch["doc"].slice(row, len(sets)), "bits": pa.array(bits, pa.binary()),
+                    "shingles": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                })
+
+    return rows
+
+
+def _with_all_links(given: DataFrame, reps: DataFrame, label: DataFrame, width: int) -> DataFrame:
+    """``label`` with the links whose signatures lie too far apart: prefix filtering between different classes."""
+    own = reps.join(label, reps["doc"] == label["node"], "left")
+    own = stage(own.select(*reps.columns, F.coalesce("label", "doc").alias("label")))
+    texts = given.join(own.select("doc", "digest"), ["doc", "digest"]).select("doc", "text")
+    sets = stage(texts.mapInArrow(_set_lists(width), "doc long, bits binary, shingles array<long>"))
+    sets = sets.groupBy("doc").agg(F.first("bits").alias("bits"), F.first("shingles").alias("shingles"))  # equal rows
+    placed = sets.join(own.select("doc", "n", "label"), "doc")
+    each = placed.select("doc", "n", "label", F.explode("shingles").alias("key"))
+    counts = each.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+    rare_first = Window.partitionBy("doc").orderBy("rows", "key")  # the shingles of one text
+    ranked = each.join(counts, "key").withColumn("rank", F.row_number().over(rare_first))
+    prefix = stage(ranked.filter(f"rank <= n - (n * {PERCENT} + 99) div 100 + 1 and rows > 1").select("key", "doc", "n", "label"))
+    open_keys = prefix.groupBy("key").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("label").alias("least"), F.max("label").alias("most")
+    ).filter("least < most")
+    sizes = open_keys.select("key", F.ceil(F.col("rows") / KEY_BLOCK).cast("int").alias("blocks"))
+    rest = prefix.join(sizes, "key").join(sets.select("doc", "bits"), "doc")
+    rest = _block_pairs(rest.withColumn("block", F.pmod(F.hash("doc"), F.col("blocks"))))
+    dealt = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    joined = components(dealt.mapInArrow(_label_joins(_by_bitmap), "a long, b long"))
+    clusters = own.join(joined, own["label"] == joined["node"]).select("doc", joined["label"].alias("cluster"))
+    links = stage(_links(given, own, clusters, width, VALUES))
+    inside = own.filter("doc <> label").select(F.col("label").alias("a"), F.col("doc").alias("b"))
+    return components(inside.union(links))
+
+
+def _candidate_clusters(reps: DataFrame, distance: int) -> DataFrame:
     """``(doc, cluster)`` of documents with a near signature: the classes of that relation."""
     keys = reps.select("doc", "sig").mapInArrow(_key_rows, "doc long, keys array<long>")
     keys = keys.select("doc", F.explode("keys").alias("key"))
@@ -264,7 +361,7 @@ def _candidate_clusters(reps: DataFrame) -> DataFrame:
     star = indexed.filter("doc <> leader").select(F.col("leader").alias("a"), F.col("doc").alias("b")).distinct()
     a = reps.select(F.col("doc").alias("a"), F.col("sig").alias("sig_a"))
     b = reps.select(F.col("doc").alias("b"), F.col("sig").alias("sig_b"))
-    first = components(star.join(a, "a").join(b, "b").mapInArrow(_near_pairs, "a long, b long"))
+    first = components(star.join(a, "a").join(b, "b").mapInArrow(_near_pairs(distance), "a long, b long"))
 
     labelled = indexed.join(first, indexed["doc"] == first["node"], "left")
     labelled = labelled.select("key", "doc", F.coalesce("label", "doc").alias("label"))
@@ -276,7 +373,7 @@ def _candidate_clusters(reps: DataFrame) -> DataFrame:
     rest = labelled.join(sizes, "key").join(reps.select("doc", "sig"), "doc")
     rest = _block_pairs(rest.withColumn("block", F.pmod(F.hash("doc"), F.col("blocks"))))
     dealt = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    second = components(dealt.mapInArrow(_cluster_joins, "a long, b long"))
+    second = components(dealt.mapInArrow(_label_joins(_by_signature(distance)), "a long, b long"))
     upper = second.select(F.col("node").alias("label"), F.col("label").alias("top"))
     ends = second.select(F.col("node").alias("doc"), F.col("node").alias("label"))
     known = first.select(F.col("node").alias("doc"), "label").union(
@@ -285,13 +382,15 @@ def _candidate_clusters(reps: DataFrame) -> DataFrame:
     return known.join(upper, "label", "left").select("doc", F.coalesce("top", "label").alias("cluster"))
 
 
-def keep_one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
+def keep_one_of_each(
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, exact: bool = False
+) -> DataFrame:
     """The documents without near duplicates: of each class the one with the least id.
 
     Rows without an id stay. Of rows that repeat an id one stays, with the text that stood for it.
     """
     name, text_digest, copy = free_names(documents, "_kept", "_digest", "_copy")
-    classes = _classes(documents, id_col, text_col, width).filter("kept")
+    classes = _classes(documents, id_col, text_col, width, exact).filter("kept")
     named = documents.filter(F.col(f"`{id_col}`").isNotNull())
     kept = classes.select(F.col("doc_id").alias(name), F.col("digest").alias(text_digest))
     own = Window.partitionBy(F.col(f"`{id_col}`")).orderBy(F.xxhash64(*hashable(documents)))

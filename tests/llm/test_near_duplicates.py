@@ -52,6 +52,25 @@ def test_classes_equal_all_pairs(spark):
         assert got == brute(rows, width)
 
 
+def test_exact_mode_loses_no_link(spark):
+    rows = made()
+    r = random.Random(11)
+    base = [f"v{k}" for k in range(300)]
+    # Chains and pairs just at the threshold, and passages that many documents share without being near.
+    for k in range(60):
+        cut = r.randrange(280)
+        rows.append((len(rows), " ".join(base[:cut] + [f"u{k}x{j}" for j in range(r.choice([10, 28, 29, 30, 31, 60]))] + base[cut:])))
+    rows += [(len(rows) + k, " ".join(base[100:160] + [f"p{k}q{j}" for j in range(200)])) for k in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 2)
+    lossy = near_duplicate_classes(frame, width=2, distance=4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in lossy} != want
+    got = near_duplicate_classes(frame, width=2, exact=True, distance=4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    empty = spark.createDataFrame([(1, None), (2, ""), (None, "a b")], frame.schema)
+    assert sorted(tuple(r) for r in near_duplicate_classes(empty, exact=True).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
 def test_pairs_in_reach_share_a_key():
     r = np.random.default_rng(1)
     a = r.integers(0, 256, (300, VALUES), dtype=np.uint8)
