@@ -1,7 +1,9 @@
 """Approximate nearest neighbours by largest inner product, with a hierarchical k-means tree.
 
 The tree is fitted on the driver over at most ``FIT_ROWS`` vectors, chosen by a hash of their id; every
-vector is then put into its leaf. A query walks the tree best bin first: a priority queue holds the
+vector is then put into its leaf. Leaves of more than ``SPLIT_ROWS`` vectors are split further, each in a task
+of its own over at most some ``SPLIT_FIT`` of its vectors, so that leaves follow the table up to ``MAX_LEAVES``
+of them; beyond that they grow. A query walks the tree best bin first: a priority queue holds the
 nodes seen, keyed by how large an inner product below is likely to get, and leaves are visited
 in the order in which they come off the queue. How many leaves are visited is calibrated: for at most
 ``CALIBRATION_ROWS`` queries the true neighbours are found by brute force over all vectors, and the
@@ -19,6 +21,7 @@ and queries of another length than most vectors have. Of rows that repeat an id
 from __future__ import annotations
 
 import heapq
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -32,6 +35,7 @@ from songloom.plans.staging import stage
 
 FIT_ROWS, CALIBRATION_ROWS = 20_000, 200
 BRANCHES, LEAF_ROWS, ROUNDS = 16, 100, 12
+SPLIT_ROWS, SPLIT_FIT, MAX_LEAVES = 400, 4096, 1 << 16
 RECALL = 0.98
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
 ROW_SCHEMA = "vec_id long, vector array<double>"
@@ -45,12 +49,14 @@ class Node:
     radius: float
     leaf: int = -1
     children: list["Node"] = field(default_factory=list)
+    centers: np.ndarray | None = None  # of the children, and their radii
+    radii: np.ndarray | None = None
 
 
 @dataclass
 class Tree:
     root: Node
-    leaves: list[np.ndarray]
+    leaves: list[Node]
 
     def leaf_order(self, query: np.ndarray, most: int, sizes: np.ndarray | None = None, least: int = 0) -> list[int]:
         """The first leaves of a best-bin-first walk; more than ``most`` until they hold ``least`` vectors."""
@@ -61,9 +67,10 @@ class Tree:
             if node.leaf >= 0:
                 found.append(node.leaf)
                 held += int(sizes[node.leaf]) if sizes is not None else 0
-            for child in node.children:
-                tick += 1
-                heapq.heappush(queue, (-(query @ child.center) - norm * child.radius, tick, child))
+            if node.children:
+                for key, child in zip((-(node.centers @ query) - norm * node.radii).tolist(), node.children):
+                    tick += 1
+                    heapq.heappush(queue, (key, tick, child))
         return found
 
     def leaf_of(self, vectors: np.ndarray) -> np.ndarray:
@@ -75,7 +82,7 @@ class Tree:
             if node.leaf >= 0:
                 out[at] = node.leaf
             elif len(at):
-                nearest = _nearest_center(vectors[at], np.stack([c.center for c in node.children]))
+                nearest = _nearest_center(vectors[at], node.centers)
                 todo += [(child, at[nearest == k]) for k, child in enumerate(node.children)]
         return out
 
@@ -84,16 +91,31 @@ def _nearest_center(vectors: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return (-2 * vectors @ centers.T + (centers**2).sum(axis=1)).argmin(axis=1)
 
 
-def fit_tree(vectors: np.ndarray) -> Tree:
+def _numbered(root: Node) -> Tree:
+    """The tree below a node: leaves get numbers, and nodes what a walk needs of their children."""
+    leaves, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        node.leaf = -1 if node.children else len(leaves)
+        if node.children:
+            node.centers = np.stack([c.center for c in node.children])
+            node.radii = np.array([c.radius for c in node.children])
+            todo += reversed(node.children)
+        else:
+            leaves.append(node)
+    return Tree(root, leaves)
+
+
+def fit_tree(vectors: np.ndarray, leaf_rows: int = LEAF_ROWS) -> Tree:
     """k-means at every level until a node holds few of the fitted vectors; centers from fixed draws."""
-    rng, leaves = np.random.default_rng(10), []
+    rng = np.random.default_rng(10)
 
     def grow(own: np.ndarray, depth: int) -> Node:
         center = own.mean(axis=0)
         node = Node(center, float(np.sqrt(np.median(((own - center) ** 2).sum(axis=1)))))
         names = np.zeros(0)
-        if len(own) > LEAF_ROWS and depth < 20:
-            centers = own[rng.choice(len(own), min(BRANCHES, -(-2 * len(own) // LEAF_ROWS)), replace=False)]
+        if len(own) > leaf_rows and depth < 20:
+            centers = own[rng.choice(len(own), min(BRANCHES, -(-2 * len(own) // leaf_rows), len(own)), replace=False)]
             for _ in range(ROUNDS):
                 nearest = _nearest_center(own, centers)
                 names = np.unique(nearest)
@@ -102,12 +124,9 @@ def fit_tree(vectors: np.ndarray) -> Tree:
             names = np.unique(nearest)
         if len(names) > 1:
             node.children = [grow(own[nearest == k], depth + 1) for k in names]
-        else:
-            node.leaf = len(leaves)
-            leaves.append(center)
         return node
 
-    return Tree(grow(vectors, 0), leaves)
+    return _numbered(grow(vectors, 0))
 
 
 def usable_vectors(
@@ -156,6 +175,45 @@ def _leaf_rows(tree: Tree):
     return rows
 
 
+def _split_rows(leaf_rows: int):
+    """One row for each leaf: the tree fitted to the vectors of it that came, as bytes."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, ["leaf"]):
+            vectors, held = _matrix(group["vector"]), group["held"][0].as_py()
+            below = fit_tree(vectors, max(2, leaf_rows * len(vectors) // held))
+            yield pa.RecordBatch.from_pydict({
+                "leaf": pa.array([group["leaf"][0].as_py()], pa.int32()), "below": pa.array([pickle.dumps(below.root)], pa.binary()),
+            })
+
+    return rows
+
+
+def leaf_sizes(tree: Tree, indexed: DataFrame) -> np.ndarray:
+    held = np.zeros(len(tree.leaves), np.int64)
+    for r in indexed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect():  # about MAX_LEAVES rows at most
+        held[r["leaf"]] = r["n"]
+    return held
+
+
+def tree_of(usable: DataFrame, fitted: np.ndarray) -> tuple[Tree, DataFrame]:
+    """A tree whose leaves follow the table, and the written ``(vec_id, vector, leaf)`` of all rows."""
+    spark, tree = usable.sparkSession, fit_tree(fitted)
+    indexed = stage(usable.mapInArrow(_leaf_rows(tree), ROW_SCHEMA + ", leaf int"))
+    held = leaf_sizes(tree, indexed)
+    wanted = max(SPLIT_ROWS, -(-int(held.sum()) // MAX_LEAVES))
+    large = [(int(leaf), int(held[leaf])) for leaf in np.flatnonzero(held > wanted)]
+    if not large:
+        return tree, indexed
+    rows = indexed.join(spark.createDataFrame(large, "leaf int, held long"), "leaf")
+    some = rows.filter(F.pmod(F.xxhash64(F.lit("split"), "vec_id"), F.ceil(F.col("held") / SPLIT_FIT)) == 0)
+    dealt = some.select("leaf", "held", "vec_id", "vector").repartition("leaf").sortWithinPartitions("leaf", "vec_id")
+    for r in dealt.mapInArrow(_split_rows(wanted), "leaf int, below binary").collect():  # centers of new leaves
+        tree.leaves[r["leaf"]].children = pickle.loads(r["below"]).children
+    tree = _numbered(tree.root)
+    return tree, stage(usable.mapInArrow(_leaf_rows(tree), ROW_SCHEMA + ", leaf int"))
+
+
 def _visit_rows(tree: Tree, visits: int, sizes: np.ndarray, least: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,27 +283,25 @@ def calibrated_visits(tree: Tree, indexed: DataFrame, queries: DataFrame, k: int
 
 def nearest_neighbours(
     embeddings: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
-    recall: float = RECALL,
+    recall: float = RECALL, fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` best found for each query among all other ids.
 
-    ``queries`` has the columns of ``embeddings``; a query never finds its own id.
+    ``queries`` has the columns of ``embeddings``; a query never finds its own id. The first levels of the tree
+    are fitted to ``fit_rows`` vectors.
     """
     spark = embeddings.sparkSession
     usable = stage(usable_vectors(embeddings, id_col, vector_col))
     nothing = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    _, sample = _sample(usable, FIT_ROWS, "fit")
+    _, sample = _sample(usable, fit_rows, "fit")
     if not len(sample):
         return nothing
     asked = stage(usable_vectors(queries, id_col, vector_col, length=sample.shape[1]))
     if asked.isEmpty():
         return nothing
-    tree = fit_tree(sample)
-    indexed = stage(usable.mapInArrow(_leaf_rows(tree), ROW_SCHEMA + ", leaf int"))
+    tree, indexed = tree_of(usable, sample)
     visits = calibrated_visits(tree, indexed, asked, k, recall)
-    held = np.zeros(len(tree.leaves), np.int64)
-    for r in indexed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect():  # at most FIT_ROWS leaves
-        held[r["leaf"]] = r["n"]
+    held = leaf_sizes(tree, indexed)
     # One more than k, since a query's own id is among them.
     visiting = asked.mapInArrow(_visit_rows(tree, visits, held, k + 1), ROW_SCHEMA + ", leaves array<int>")
     visiting = stage(visiting.select("vec_id", "vector", F.explode("leaves").alias("leaf")))

@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from songloom.llm.nearest import fit_tree, nearest_neighbours, usable_vectors
+from songloom.llm.nearest import (
+    calibrated_visits, fit_tree, leaf_sizes, nearest_neighbours, tree_of, usable_vectors,
+)
 
 SCHEMA = "vec_id long, embedding array<float>, leaf int"
 
@@ -97,3 +99,43 @@ def test_outliers_beside_large_groups(spark):
     for g in nearest_neighbours(frame, frame.filter("vec_id % 20 = 0 or vec_id >= 4000")).collect():
         got[g.query_id] += 1
     assert len(got) == 205 and set(got.values()) == {20}
+
+
+def test_leaves_follow_the_table(spark):
+    r = np.random.default_rng(7)
+    centers = r.normal(size=(600, 24))
+    shares, counts = [], []
+    for n in (20_000, 100_000):
+        vectors = centers[r.integers(0, 600, n)] + 0.1 * r.normal(size=(n, 24))
+        vectors[: n // 3] = vectors[0]  # one leaf that no split can cut
+        frame = spark.createDataFrame(list(zip(range(n), vectors.tolist())), "vec_id long, embedding array<double>")
+        usable = usable_vectors(frame)
+        tree, indexed = tree_of(usable, vectors[r.choice(n, 2000, replace=False)])
+        held = leaf_sizes(tree, indexed)
+        assert held.sum() == n
+        asked = usable.filter(f"vec_id >= {n // 3} and vec_id % 50 = 0")
+        visits = calibrated_visits(tree, indexed, asked, 20, 0.98)
+        queries = r.choice(np.arange(n // 3, n), 100, replace=False)
+        orders = [tree.leaf_order(vectors[q], visits, held, 21) for q in queries]
+        shares.append(np.median([held[o].sum() / n for o in orders]))
+        counts.append(len(tree.leaves))
+        leaf, hits = tree.leaf_of(vectors), 0
+        for q, order in zip(queries, orders):
+            true = [i for i, _ in brute(np.arange(n), vectors, q, 20)]
+            hits += sum(leaf[i] in order for i in true)
+        assert hits / 2000 >= 0.95
+        assert np.sort(held)[-2] <= 1600  # near SPLIT_ROWS, but for the copies
+    # 2,000 fitted vectors alone would leave the part of the table that a query reads as it is.
+    assert counts[1] > 4 * counts[0] and shares[1] < 0.1 and shares[1] < shares[0] / 2
+
+
+def test_split_leaves_give_the_same_neighbours(spark):
+    r = np.random.default_rng(8)
+    centers = r.normal(size=(30, 12))
+    vectors = centers[r.integers(0, 30, 6000)] + 0.2 * r.normal(size=(6000, 12))
+    frame = spark.createDataFrame([(i, v, 1) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<double>, below int")
+    got = defaultdict(set)
+    for g in nearest_neighbours(frame, frame.filter("vec_id % 20 = 0"), fit_rows=300).collect():
+        got[g.query_id].add(g.vec_id)
+    hits = sum(len(got[q] & {i for i, _ in brute(np.arange(6000), vectors, q, 20)}) for q in range(0, 6000, 20))
+    assert len(got) == 300 and hits / 6000 >= 0.95
