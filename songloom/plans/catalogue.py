@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from songloom.operators.merge import choose_source
+from songloom.operators.merge import choose_source, merge_sources
 from songloom.operators.resolve import enrich_songs
-from songloom.operators.shape import complete_columns, file_key, first_n, merge_key
+from songloom.operators.shape import TOP_ROWS, complete_columns, file_key, first_n, merge_key
 from songloom.operators.summary import JobCounters
 from songloom.operators.tagged_text import parse_songs
 from songloom.plans.staging import dropping_stages, stage
@@ -34,10 +35,28 @@ def load_songs(
         files = counters.watch_files(files)
     parsed = None if files is None else parse_songs(files, keep_starring)
     songs = choose_source(parsed, scraped, fill_blanks)
+    if limit is not None and 0 < limit <= TOP_ROWS and songs is not parsed and songs is not scraped:
+        first = _first_ids(parsed, scraped, limit, fill_blanks)
+        songs = songs if first is None else first
     from_files_only = "lyrics_rendered" not in songs.columns
     return first_n(songs, limit, file_key() if from_files_only else merge_key(songs.columns))
 
 
+def _first_ids(parsed: DataFrame, scraped: DataFrame, limit: int, fill_blanks: bool) -> DataFrame | None:
+    """The merge of the first ``limit`` ids, which make as many rows or more, written; none if there are fewer.
+
+    They are found on the ids alone, and only their songs are parsed, shuffled and merged. A merge is by id
+    and its order begins with the id, null as 0, so what lies behind the last of them is not among its first rows.
+    """
+    first = F.coalesce(F.col("isb_id"), F.lit(0))
+    ids = parsed.select(first.alias("id")).union(scraped.select(first.alias("id"))).distinct()
+    last = ids.orderBy("id").limit(limit).agg(F.max("id").alias("id"), F.count("id").alias("n")).first()
+    if last["n"] < limit:
+        return None
+    upto = first <= last["id"]
+    return stage(merge_sources(parsed.filter(upto), scraped.filter(upto), fill_blanks))
+
+
 def build_catalogue(
     files: DataFrame | None = None,
     scraped: DataFrame | None = None,

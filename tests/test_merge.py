@@ -3,11 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from songloom.operators.merge import choose_source, last_per_id, merge_sources
+from songloom.operators.merge import SCRAPED_FIELDS, choose_source, last_per_id, merge_sources
 from songloom.operators.shape import (
     CATALOGUE_COLUMNS, complete_columns, export_ready, file_key, first_n, merge_key,
 )
 from songloom.operators.summary import distinct_films, run_counters, summarise
+from songloom.operators.tagged_text import parse_songs
 from songloom.plans.catalogue import build_catalogue, load_songs
 from songloom.sources.csv_sink import read_csv, write_csv
 from songloom.sources.files import require_rows
@@ -142,3 +143,19 @@ def test_build_without_catalogues(spark, files, scraped):
     assert load_songs(files=raw, limit=1).first().isb_id == 2
     one = spark.createDataFrame([("9", "F", None, 0)], "cand_id string, cand_title string, cand_year int, rank int")
     assert {r.imdb_film_id for r in build_catalogue(files=raw, films=one).collect()} == {"tt9", None}
+
+
+def test_a_limit_parses_and_merges_the_first_ids_only(spark):
+    raw = spark.range(3_000).select(
+        F.when(F.col("id") % 100 == 0, F.concat(F.lit("x"), "id")).otherwise(F.col("id").cast("string")).alias("name")
+    ).select(F.concat("name", F.lit(".isb.txt")).alias("source_file"), F.concat(F.lit("\\film{"), "name", F.lit("}")).alias("content"))
+    other = spark.range(3_000).select(
+        F.when(F.col("id") != 7, F.col("id") * 2).cast("int").alias("isb_id"), F.lit(1990).alias("year"),
+        *[F.lit("s").alias(c) for c in SCRAPED_FIELDS if c != "year"],
+    ).filter("isb_id is null or isb_id <> 4")
+    other = other.unionByName(other.filter("isb_id = 2"))
+    whole = first_n(choose_source(parse_songs(raw), other), 9, merge_key(["isb_id", "source_file"]))
+    limited = load_songs(raw, other, limit=9)
+    assert sorted(map(str, limited.collect())) == sorted(map(str, whole.collect()))
+    plan = limited._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan  # the merge is done, on the first ids, and is not gone through again
